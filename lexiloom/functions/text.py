@@ -13,6 +13,7 @@ from lexiloom.functions.arrays import bind, running_sum
 WHITESPACE = r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 # The separators of the question-answering readers.
 QA_SPACE = r"[ \t\r\n\u202f]"
+_SPACES = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
 # ASCII punctuation, and the 100 printable characters.
 PUNCTUATION = string.punctuation
 ALPHABET = string.printable
@@ -20,7 +21,8 @@ ALPHABET = string.printable
 
 def tokens(col: Column) -> Column:
     """Split on runs of Unicode white space; no empty tokens."""
-    return F.array_remove(F.split(col, WHITESPACE + "+"), "")
+    spaced = F.translate(col, _SPACES, " " * len(_SPACES))
+    return F.array_remove(F.split(spaced, " "), "")
 
 
 def strip(col: Column) -> Column:

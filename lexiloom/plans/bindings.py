@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from lexiloom.functions import text as T
 from lexiloom.operators.ordered import positions
-from lexiloom.plans.registry import table
+from lexiloom.plans.registry import table, text_table
 
 # Event type to gold tag.
 TAG_OF = {"click": "B-C", "view": "I-C", "purchase": "B-P", "signup": "I-P", "error": "O"}
@@ -54,7 +54,7 @@ def pieces(token: Column) -> Column:
 
 def document_tokens(spark, sf) -> DataFrame:
     """Token stream of the documents: (doc_id, pos, term)."""
-    d = table(spark, sf, "documents")
+    d = text_table(spark, sf, "documents", "doc_id")
     return d.select("doc_id", F.posexplode(T.tokens(F.col("text"))).alias("pos", "term"))
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from lexiloom.functions import text as T
 from lexiloom.plans.bindings import EVENT_TAGS_SQL, gold_tag, pieces
-from lexiloom.plans.registry import query, table
+from lexiloom.plans.registry import query, table, text_table
 from lexiloom.plans.sqltext import normalized, stripped, tok, token_stream
 
 ALPHABET_SQL = "concat(" + ", ".join(f"chr({ord(c)})" for c in T.ALPHABET) + ")"
@@ -20,7 +20,7 @@ ALPHABET_SQL = "concat(" + ", ".join(f"chr({ord(c)})" for c in T.ALPHABET) + ")"
     """,
 )
 def _tokens(spark, sf):
-    d = table(spark, sf, "documents").select("doc_id", T.tokens(F.col("text")).alias("toks"))
+    d = text_table(spark, sf, "documents", "doc_id").select("doc_id", T.tokens(F.col("text")).alias("toks"))
     return d.select(
         "doc_id",
         F.size("toks").cast("bigint").alias("n_tokens"),
@@ -46,7 +46,7 @@ def _tokens(spark, sf):
     """,
 )
 def _offsets(spark, sf):
-    d = table(spark, sf, "documents").where(F.length("text") > 0)
+    d = text_table(spark, sf, "documents", "doc_id").where(F.length("text") > 0)
     total = lambda a: F.aggregate(a, F.lit(0).cast("bigint"), lambda t, x: t + x)
     return d.select(
         "doc_id", T.token_starts(F.col("text")).alias("starts"), T.char_to_token(F.col("text")).alias("map")
@@ -61,7 +61,7 @@ def _offsets(spark, sf):
 
 @query("normalize_answer", f"SELECT conv_id, turn, {normalized('text')} AS answer FROM conversations")
 def _normalize(spark, sf):
-    return table(spark, sf, "conversations").select(
+    return text_table(spark, sf, "conversations", "conv_id").select(
         "conv_id", "turn", T.normalize_answer(F.col("text")).alias("answer")
     )
 
@@ -80,7 +80,7 @@ def _normalize(spark, sf):
     """,
 )
 def _markup(spark, sf):
-    p = table(spark, sf, "pages").select("page_id", T.tokens(F.col("html")).alias("toks"))
+    p = text_table(spark, sf, "pages", "page_id").select("page_id", T.tokens(F.col("html")).alias("toks"))
     return p.where(F.size("toks") > 0).select(
         "page_id",
         F.size(T.drop_markup_tokens(F.col("toks"))).cast("bigint").alias("n_kept"),
@@ -113,7 +113,7 @@ def _markup(spark, sf):
     """,
 )
 def _semichar(spark, sf):
-    d = table(spark, sf, "documents").select(F.explode(T.tokens(F.col("text"))).alias("term")).distinct()
+    d = text_table(spark, sf, "documents", "doc_id").select(F.explode(T.tokens(F.col("text"))).alias("term")).distinct()
     return d.select(
         "term",
         F.array_join(
@@ -138,7 +138,7 @@ def _semichar(spark, sf):
     """,
 )
 def _noise(spark, sf):
-    d = table(spark, sf, "documents").select("doc_id", T.tokens(F.col("text")).alias("toks"))
+    d = text_table(spark, sf, "documents", "doc_id").select("doc_id", T.tokens(F.col("text")).alias("toks"))
     doc = F.col("doc_id")
 
     def one(t, i):
@@ -161,7 +161,7 @@ def _noise(spark, sf):
     """,
 )
 def _wordpieces(spark, sf):
-    d = table(spark, sf, "documents")
+    d = text_table(spark, sf, "documents", "doc_id")
     split = F.flatten(F.transform(T.tokens(F.col("text")), pieces))
     return d.select("doc_id", F.md5(T.join_wordpieces(split)).alias("digest"))
 
@@ -174,7 +174,7 @@ def _wordpieces(spark, sf):
     """,
 )
 def _until_eos(spark, sf):
-    c = table(spark, sf, "conversations")
+    c = text_table(spark, sf, "conversations", "conv_id")
     marked = F.concat(F.lit("  "), F.col("text"), F.lit(" <EOS> "), F.col("role"), F.lit(" <EOS>"))
     return c.select("conv_id", "turn", T.until_eos(marked).alias("answer"))
 
