@@ -62,3 +62,112 @@ def part_names(spark, sf) -> DataFrame:
     """Distinct part names with and without spaces: (key, text, gold); the name is the key."""
     p = table(spark, sf, "part").select(F.col("p_name").alias("gold")).distinct()
     return p.select(F.col("gold").alias("key"), F.replace("gold", F.lit(" "), F.lit("")).alias("text"), "gold")
+
+
+# The mean F1 of each model, used as its weight.
+MODEL_WEIGHTS = {
+    "bert": (88.26 + 88.26 + 88.08) / 3,
+    "albert": (88.85 + 89.38 + 89.40) / 3,
+    "distilbert": (85.03 + 85.50 + 85.21) / 3,
+    "albertAug": 89.46,
+    "albertGoogle": 89.46,
+}
+# Event type to model.
+MODEL_OF = {
+    "click": "bert",
+    "view": "albert",
+    "purchase": "distilbert",
+    "signup": "albertAug",
+    "error": "albertGoogle",
+}
+_MODEL_CASE = "CASE event_type " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in MODEL_OF.items()) + " END"
+WEIGHTS_SQL = "SELECT * FROM (VALUES " + ", ".join(
+    f"('{m}', CAST({w!r} AS DOUBLE))" for m, w in MODEL_WEIGHTS.items()
+) + ") AS t(model, weight)"
+NBEST_SQL = f"""
+    SELECT user_id AS qid, event_id, {_MODEL_CASE} AS model,
+           't' || (CAST(json_extract_string(props, '$.k') AS INTEGER) % 7) AS text, value / 100 AS probability
+    FROM events
+"""
+
+
+def model_weights(spark) -> DataFrame:
+    return spark.createDataFrame(list(MODEL_WEIGHTS.items()), "model string, weight double")
+
+
+def _model(event_type: Column) -> Column:
+    out = F.lit(None).cast("string")
+    for name, model in MODEL_OF.items():
+        out = F.when(event_type == name, model).otherwise(out)
+    return out
+
+
+def nbest_events(spark, sf) -> DataFrame:
+    """Events as n-best rows: (qid, event_id, model, text, probability)."""
+    e = table(spark, sf, "events")
+    k = F.get_json_object("props", "$.k").cast("int")
+    return e.select(
+        F.col("user_id").alias("qid"),
+        "event_id",
+        _model(F.col("event_type")).alias("model"),
+        F.concat(F.lit("t"), (k % 7).cast("string")).alias("text"),
+        (F.col("value") / 100).alias("probability"),
+    )
+
+
+# A question is a turn; its answers are the next two turns. One turn in three is
+# predicted as the next turn, one in four as empty, some not at all.
+QA_SQL = """
+    SELECT c.conv_id * 100 + c.turn AS qid, (c.conv_id % 6 <> 0) AS has_answer,
+           CASE WHEN c.conv_id % 6 = 0 THEN [] WHEN c2.text IS NULL THEN [c1.text] ELSE [c1.text, c2.text] END
+             AS answers,
+           CASE WHEN (c.conv_id + c.turn) % 9 = 0 THEN NULL WHEN c.turn % 4 = 3 THEN ''
+                WHEN c.turn % 3 = 0 THEN c1.text ELSE c.text END AS pred,
+           round(length(c.text) / (length(c.text) + 500.0::DOUBLE), 2) AS na_prob
+    FROM conversations c
+    JOIN conversations c1 ON c1.conv_id = c.conv_id AND c1.turn = c.turn + 1
+    LEFT JOIN conversations c2 ON c2.conv_id = c.conv_id AND c2.turn = c.turn + 2
+"""
+
+
+def qa_pairs(spark, sf) -> DataFrame:
+    """(qid, answers, pred, na_prob) of the conversations; the joins are on the
+    whole (conversation, turn) key, so no conversation is paired with itself."""
+    c = text_table(spark, sf, "conversations", "conv_id").select("conv_id", "turn", "text")
+
+    def later(n: int) -> DataFrame:
+        return c.select("conv_id", (F.col("turn") - n).alias("turn"), F.col("text").alias(f"t{n}"))
+
+    j = c.join(later(1), ["conv_id", "turn"]).join(later(2), ["conv_id", "turn"], "left")
+    conv, turn, n = F.col("conv_id"), F.col("turn"), F.length("text")
+    return j.select(
+        (conv * 100 + turn).alias("qid"),
+        F.when(conv % 6 == 0, F.array().cast("array<string>"))
+        .otherwise(F.filter(F.array("t1", "t2"), lambda t: t.isNotNull()))
+        .alias("answers"),
+        F.when((conv + turn) % 9 == 0, None)
+        .when(turn % 4 == 3, "")
+        .when(turn % 3 == 0, F.col("t1"))
+        .otherwise(F.col("text"))
+        .alias("pred"),
+        F.round(n / (n + 500.0), 2).alias("na_prob"),
+    )
+
+
+# has-answer, score and no-answer probability of the labelled documents.
+NA_SQL = """
+    SELECT doc_id AS qid, quality = 1 AS has_answer, doc_id % 3 <> 0 AS answered,
+           round(n_chars / (n_chars + 500.0::DOUBLE), 2) AS na_prob, CAST(1 - toxic AS DOUBLE) AS score
+    FROM labels JOIN documents USING (doc_id)
+"""
+
+
+def na_scores(spark, sf) -> DataFrame:
+    j = table(spark, sf, "labels").join(table(spark, sf, "documents").select("doc_id", "n_chars"), "doc_id")
+    return j.select(
+        F.col("doc_id").alias("qid"),
+        (F.col("quality") == 1).alias("has_answer"),
+        (F.col("doc_id") % 3 != 0).alias("answered"),
+        F.round(F.col("n_chars") / (F.col("n_chars") + 500.0), 2).alias("na_prob"),
+        (1 - F.col("toxic")).cast("double").alias("score"),
+    )

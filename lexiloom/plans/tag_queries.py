@@ -123,6 +123,8 @@ def _accuracy(spark, sf):
 )
 def _argmax(spark, sf):
     e = table(spark, sf, "embeddings").select("vec_id", "embedding")
-    labels = e.select(F.explode(F.sequence(F.lit(0), F.size("embedding") - 1)).cast("bigint").alias("ix")).distinct()
-    named = labels.withColumn("label", F.concat(F.lit("tag"), (F.col("ix") % 7).cast("string")))
+    places = e.select(F.explode(F.sequence(F.lit(0), F.size("embedding") - 1)).alias("ix")).distinct()
+    named = places.select(
+        F.col("ix").cast("bigint").alias("ix"), F.concat(F.lit("tag"), (F.col("ix") % 7).cast("string")).alias("label")
+    )
     return C.argmax_label(e, named, "embedding", ["vec_id"]).drop("embedding")
