@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 CHUNK = 64
@@ -15,6 +15,15 @@ def bind(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), 0)
 
 
+def compute_once(df: DataFrame, keep: Sequence[str], *cols: Column) -> DataFrame:
+    """Select ``keep`` and the named ``cols`` so that later steps read their values.
+
+    Plain projections are merged by the optimizer, which repeats a costly
+    expression wherever its result is used; a generator is not merged.
+    """
+    return df.select(*keep, F.inline(F.array(F.struct(*cols))))
+
+
 def running_sum(values: Column, kind: str = "int") -> Column:
     """Inclusive prefix sums of a numeric array, inside the row.
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lexiloom.functions.arrays import bag_overlap, bind
+from lexiloom.functions.arrays import bag_overlap, bind, compute_once
 from lexiloom.functions.text import normalize_answer, tokens
 from lexiloom.operators.ordered import running_totals
 
@@ -50,17 +50,20 @@ def raw_scores(questions: DataFrame, preds: DataFrame, no_answers: bool = False)
         kept = F.filter(clean, lambda a: a != "")
         clean = bind(kept, lambda k: F.when(F.size(k) > 0, k).otherwise(F.array(F.lit(""))))
     golds = questions.select("qid", (F.size("answers") > 0).alias("has_answer"), F.array_distinct(clean).alias("__g"))
-    sides = golds.join(preds.select("qid", "text"), "qid", "left").withColumn("__p", normalize_answer(F.col("text")))
+    sides = compute_once(
+        golds.join(preds.select("qid", "text"), "qid", "left"),
+        ["qid", "has_answer", "text", "__g"],
+        normalize_answer(F.col("text")).alias("__p"),
+    )
     exact = F.array_contains("__g", F.col("__p")).cast("double")
     best = bind(
         tokens(F.col("__p")),
         lambda p: F.array_max(F.transform("__g", lambda a: bind(tokens(a), lambda g: _f1(p, g, no_answers)))),
     )
     answered = F.col("text").isNotNull()
-    return sides.select(
-        "qid",
-        "has_answer",
-        "text",
+    return compute_once(
+        sides,
+        ["qid", "has_answer", "text"],
         F.when(answered, F.coalesce(exact, F.lit(0.0))).alias("exact"),
         F.when(answered, F.coalesce(best, F.lit(0.0))).alias("f1"),
     )

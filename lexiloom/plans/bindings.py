@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from lexiloom.functions import text as T
 from lexiloom.operators.ordered import positions
 from lexiloom.plans.registry import table, text_table
+from lexiloom.plans.sqltext import QA_WS, qa_tok
 
 # Event type to gold tag.
 TAG_OF = {"click": "B-C", "view": "I-C", "purchase": "B-P", "signup": "I-P", "error": "O"}
@@ -171,3 +172,89 @@ def na_scores(spark, sf) -> DataFrame:
         F.round(F.col("n_chars") / (F.col("n_chars") + 500.0), 2).alias("na_prob"),
         (1 - F.col("toxic")).cast("double").alias("score"),
     )
+
+
+# Documents as question rows: the question is the first ten tokens, the answer
+# tokens 3 to 6. One answer in eleven cannot be found again; texts of fewer than
+# seven tokens have no answer.
+SQUAD_SQL = r"""
+    SELECT doc_id AS qid, text AS context, toks, array_to_string(toks[1:10], ' ') AS question,
+           len(toks) < 7 AS is_impossible,
+           CASE WHEN len(toks) < 7 THEN NULL WHEN doc_id % 11 = 0 THEN 'zz' || array_to_string(toks[4:7], ' ')
+                ELSE array_to_string(toks[4:7], ' ') END AS answer,
+           length(regexp_extract(text, '^WS*([^WT]+WS+){3}')) AS answer_start
+    FROM (SELECT doc_id, text, QATOK AS toks FROM documents)
+""".replace("QATOK", qa_tok("text")).replace("WS", QA_WS).replace("[^WT]", "[^" + QA_WS[1:-1] + "]")
+
+
+def squad_rows(spark, sf) -> DataFrame:
+    """(qid, question, context, answers, is_impossible)."""
+    d = text_table(spark, sf, "documents", "doc_id")
+    toks = T.qa_tokens(F.col("text"))
+    few = F.size("toks") < 7
+    answer = F.array_join(F.slice("toks", 4, 4), " ")
+    return d.select("doc_id", "text", toks.alias("toks")).select(
+        F.col("doc_id").alias("qid"),
+        F.array_join(F.slice("toks", 1, 10), " ").alias("question"),
+        F.col("text").alias("context"),
+        F.when(few, F.array().cast("array<struct<text:string,answer_start:int>>"))
+        .otherwise(
+            F.array(
+                F.struct(
+                    F.when(F.col("doc_id") % 11 == 0, F.concat(F.lit("zz"), answer)).otherwise(answer).alias("text"),
+                    F.length(
+                        F.regexp_extract("text", f"^{T.QA_SPACE}*([^{T.QA_SPACE[1:-1]}]+{T.QA_SPACE}+){{3}}", 0)
+                    ).alias("answer_start"),
+                )
+            )
+        )
+        .alias("answers"),
+        few.alias("is_impossible"),
+    )
+
+
+# Synonyms of a word: itself first; longer words have a second, their reverse.
+SYNONYM_SQL = """
+    SELECT DISTINCT w AS word, reverse(w) AS synonym FROM (SELECT unnest(toks) AS w FROM q) WHERE length(w) > 4
+"""
+
+
+def synonyms(spark, sf) -> DataFrame:
+    """(word, rank, synonym) of all document tokens."""
+    d = text_table(spark, sf, "documents", "doc_id")
+    words = d.select(F.explode(T.qa_tokens(F.col("text"))).alias("word")).distinct()
+    ranks = F.when(F.length("word") > 4, F.array("word", F.reverse("word"))).otherwise(F.array("word"))
+    return words.select("word", F.posexplode(ranks).alias("rank", "synonym")).withColumn("rank", F.col("rank") + 1)
+
+
+# Pages as long/short answer rows: tokens 2 to 60 are the long answer, four
+# tokens from 10 on the short one; a page in four has none.
+NQ_SQL = f"""
+    SELECT page_id AS qid, toks, 2 AS ls, least(60, len(toks)) AS le,
+           10 + page_id % 5 AS ss, 14 + page_id % 5 AS se,
+           (page_id % 4 <> 0 AND len(toks) >= 20) AS has_short
+    FROM (SELECT page_id, {qa_tok('html')} AS toks FROM pages)
+"""
+
+
+def nq_rows(spark, sf) -> DataFrame:
+    """(example_id, question_text, document_text, annotations)."""
+    p = text_table(spark, sf, "pages", "page_id").withColumn("n", F.size(T.qa_tokens(F.col("html"))))
+    at = (F.col("page_id") % 5).cast("int")
+    short = F.struct((at + 10).alias("start_token"), (at + 14).alias("end_token"))
+    has = (F.col("page_id") % 4 != 0) & (F.col("n") >= 20)
+    return p.select(
+        F.col("page_id").alias("example_id"),
+        F.col("url").alias("question_text"),
+        F.col("html").alias("document_text"),
+        F.array(
+            F.struct(
+                F.struct(F.lit(2).alias("start_token"), F.least(F.lit(60), F.col("n")).alias("end_token")).alias(
+                    "long_answer"
+                ),
+                F.when(has, F.array(short))
+                .otherwise(F.array().cast("array<struct<start_token:int,end_token:int>>"))
+                .alias("short_answers"),
+            )
+        ).alias("annotations"),
+    )
