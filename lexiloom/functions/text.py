@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import string
+import unicodedata
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -184,3 +185,75 @@ def split_tag(tag: Column) -> Column:
         F.when(tag == "O", "O").otherwise(F.get(parts, 0)).alias("prefix"),
         F.when(tag == "O", None).when(F.size(parts) == 2, F.get(parts, 1)).otherwise(bad).alias("type"),
     )
+
+
+def _accent_table() -> tuple[str, str]:
+    """Letters and their base letters under canonical decomposition, followed by
+    the combining marks, which have no counterpart and are dropped."""
+    letters, bases, marks = [], [], []
+    for code in range(0x80, 0x10000):
+        c = chr(code)
+        if unicodedata.category(c) == "Mn":
+            marks.append(c)
+            continue
+        kept = [x for x in unicodedata.normalize("NFD", c) if unicodedata.category(x) != "Mn"]
+        if len(kept) == 1 and kept[0] != c:
+            letters.append(c)
+            bases.append(kept[0])
+    return "".join(letters + marks), "".join(bases)
+
+
+_ACCENTED, _BASES = _accent_table()
+# ASCII symbols that count as punctuation besides the Unicode class P.
+_SYMBOLS = r"$+<=>^`|~"
+# The code ranges of Chinese characters, which become one token each.
+_CJK = (
+    r"\x{4E00}-\x{9FFF}\x{3400}-\x{4DBF}\x{20000}-\x{2A6DF}\x{2A700}-\x{2B73F}"
+    r"\x{2B740}-\x{2B81F}\x{2B820}-\x{2CEAF}\x{F900}-\x{FAFF}\x{2F800}-\x{2FA1F}"
+)
+
+
+def basic_tokens(col: Column, lower: bool = True) -> Column:
+    """Tokens of a reader model before subwords: control characters removed,
+    lower case without accents, punctuation and Chinese characters alone.
+
+    Accents are taken off letter by letter; Hangul syllables stay whole.
+    """
+    clean = F.regexp_replace(col, r"[\p{Cc}\p{Cf}\x{FFFD}&&[^\t\n\r]]", "")
+    spaced = F.regexp_replace(clean, f"([{_CJK}])", " $1 ")
+    if lower:
+        spaced = F.translate(F.lower(spaced), _ACCENTED, _BASES)
+    return tokens(F.regexp_replace(spaced, r"([\p{P}" + _SYMBOLS + "])", " $1 "))
+
+
+def project_to_source_text(pred: Column, orig: Column, lower: bool = True) -> Column:
+    """The part of ``orig`` that the normalised ``pred`` stands for.
+
+    ``pred`` is looked up in the tokenised ``orig`` and its first and last
+    character are carried over by counting the characters that are not spaces.
+    On any mismatch the answer is ``orig`` itself.
+    """
+
+    def ink(text: Column) -> Column:
+        return F.length(F.replace(text, F.lit(" "), F.lit("")))
+
+    def carry(tok: Column) -> Column:
+        at = F.instr(tok, pred)
+        places = F.filter(
+            F.transform(chars(orig), lambda c, i: F.when(c != " ", i + 1)), lambda p: p.isNotNull()
+        )
+        usable = (F.length(pred) > 0) & (at > 0) & (ink(tok) == ink(orig))
+        edges = (F.substring(pred, 1, 1) != " ") & (F.substring(pred, -1, 1) != " ")
+        before = ink(F.substring(tok, F.lit(1), at - 1))
+        span = bind(
+            F.struct(places.alias("p"), before.alias("b")),
+            lambda v: bind(
+                F.struct(
+                    F.get(v["p"], v["b"]).alias("s"), F.get(v["p"], v["b"] + ink(pred) - 1).alias("e")
+                ),
+                lambda w: F.substring(orig, w["s"], w["e"] - w["s"] + 1),
+            ),
+        )
+        return F.when(usable & edges, span).otherwise(orig)
+
+    return bind(F.array_join(basic_tokens(orig, lower), " "), carry)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -372,21 +372,35 @@ def number_features(df: DataFrame, order: Sequence[str], first: int = 1_000_000_
     return positions(df, [], list(order), "unique_id", first)
 
 
-def encode_arrays(df: DataFrame, key: str, arr: str, out: str, vocab: DataFrame, unk: int) -> DataFrame:
-    """Add the vocabulary indexes of a token array; ``key`` identifies a row.
+def encode_arrays(df: DataFrame, key: str, columns: Mapping[str, str], vocab: DataFrame, unk: int) -> DataFrame:
+    """Add the vocabulary indexes of token arrays; ``columns`` maps array to output.
 
-    Documents are encoded before they are cut into overlapping windows, so each
-    token is looked up once. A group collected back is one input row.
+    ``key`` identifies a row. Documents are encoded before they are cut into
+    overlapping windows, so each token is looked up once, and all arrays of a
+    row go through the same join. A group collected back is one input row.
     """
-    each = df.select(key, F.posexplode(arr).alias("__pos", "term"))
-    coded = spread_join(each, vocab.select("term", "ix"), ["term"], "left", [key, "__pos"])
+    names = list(columns)
+
+    def tagged(n: int) -> Column:
+        return F.transform(names[n], lambda t, i: F.struct(F.lit(n).alias("col"), i.alias("pos"), t.alias("term")))
+
+    stacked = F.concat(*[tagged(n) for n in range(len(names))])
+    each = df.select(key, F.inline(stacked))
+    coded = spread_join(each, vocab.select("term", "ix"), ["term"], "left", [key, "col", "pos"])
+    index = F.coalesce("ix", F.lit(unk).cast("bigint"))
     back = coded.groupBy(key).agg(
-        F.transform(
-            F.array_sort(F.collect_list(F.struct("__pos", F.coalesce("ix", F.lit(unk).cast("bigint")).alias("ix")))),
-            lambda s: s["ix"],
-        ).alias(out)
+        *[
+            F.array_sort(
+                F.collect_list(F.when(F.col("col") == n, F.struct("pos", index.alias("ix"))))
+            ).alias(columns[c])
+            for n, c in enumerate(names)
+        ]
     )
-    return df.join(back, key, "left").withColumn(out, F.coalesce(out, F.array().cast("array<bigint>")))
+    empty = F.array().cast("array<bigint>")
+    joined = df.join(back, key, "left")
+    for out in columns.values():
+        joined = joined.withColumn(out, F.coalesce(F.transform(out, lambda s: s["ix"]), empty))
+    return joined
 
 
 def window_answer_span(df: DataFrame) -> DataFrame:

@@ -18,6 +18,7 @@ from lexiloom.plans.bindings import (
     synonyms,
 )
 from lexiloom.plans.registry import query, text_table
+from lexiloom.session import cut_lineage
 from lexiloom.plans.sqltext import qa_tok, tok
 
 # Token spans of the answers, and whether the answer is found again.
@@ -400,8 +401,8 @@ def _encode(spark, sf):
     asked = ex.withColumn(
         "query_tokens", F.slice(F.flatten(F.transform(T.tokens(F.col("question")), pieces)), 1, 12)
     )
-    coded = Q.encode_arrays(asked, "qid", "sub_tokens", "sub_ids", vocab, 0)
-    coded = Q.encode_arrays(coded, "qid", "query_tokens", "query_ids", vocab, 0)
+    columns = {"sub_tokens": "sub_ids", "query_tokens": "query_ids"}
+    coded = Q.encode_arrays(asked, "qid", columns, cut_lineage(vocab), 0)
     windows = Q.max_context(Q.doc_windows(coded, F.size("sub_tokens"), F.size("query_tokens")))
     f = Q.assemble_features(windows, ids=(2, 3, 1))
     return f.select(
