@@ -44,16 +44,25 @@ def spread_join(
     """
     on = list(on)
     hot = hot_keys(left.select(*on), on, rows_per_task)
+    dealt = deal(left, hot, on, spread or left.columns)
+    return dealt.join(repeat(right, hot, on), on + ["__part"], how).drop("__part")
+
+
+def deal(left: DataFrame, hot: DataFrame, on: Sequence[str], spread: Sequence[str | Column]) -> DataFrame:
+    """The big side with ``__part``: which of its key's parts a row goes to."""
     parts = F.coalesce(F.col("__fan"), F.lit(1))
-    dealt = spread or [c for c in left.columns]
-    wide = (
-        left.join(F.broadcast(hot), on, "left")
-        .withColumn("__part", F.pmod(F.xxhash64(*dealt), parts).cast("int"))
+    return (
+        left.join(F.broadcast(hot), list(on), "left")
+        .withColumn("__part", F.pmod(F.xxhash64(*spread), parts).cast("int"))
         .drop("__fan")
     )
-    repeated = (
-        right.join(F.broadcast(hot), on, "left")
+
+
+def repeat(right: DataFrame, hot: DataFrame, on: Sequence[str]) -> DataFrame:
+    """The other side with one copy of each row per part of its key."""
+    parts = F.coalesce(F.col("__fan"), F.lit(1))
+    return (
+        right.join(F.broadcast(hot), list(on), "left")
         .withColumn("__part", F.explode(F.sequence(F.lit(0), parts - 1)))
         .drop("__fan")
     )
-    return wide.join(repeated, on + ["__part"], how).drop("__part")
