@@ -49,7 +49,7 @@ def read_predictions(spark: SparkSession, path: str, kind: str = "nbest", lines:
     The model is the name up to the first underscore, ``run`` the whole name. A file is one object; with ``lines`` every line is one, as
     ``write_predictions`` leaves them.
     """
-    text = spark.read.option("wholetext", str(not lines).lower()).text(f"{path}/*.json")
+    text = spark.read.text(f"{path}/*.json", wholetext=not lines)
     name = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)\.json(?:/[^/]+)?$", 1)
     entries = text.select(
         F.substring_index(name, "_", 1).alias("model"),
