@@ -24,6 +24,16 @@ def compute_once(df: DataFrame, keep: Sequence[str], *cols: Column) -> DataFrame
     return df.select(*keep, F.inline(F.array(F.struct(*cols))))
 
 
+def entries(arr: Column) -> Column:
+    """An array column to be exploded.
+
+    For a bare column the optimizer adds a filter on its size and moves it down
+    to where the array is computed, which computes it again. A concatenation of
+    one array has the same entries and gets no such filter.
+    """
+    return F.concat(arr)
+
+
 def running_sum(values: Column, kind: str = "int") -> Column:
     """Inclusive prefix sums of a numeric array, inside the row.
 

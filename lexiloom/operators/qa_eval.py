@@ -112,60 +112,91 @@ def evaluate_v2(
     return scored.agg(*cols, F.count_if(~seen).alias("missing"))
 
 
-def best_threshold(scores: DataFrame, score: str = "score") -> DataFrame:
-    """The no-answer threshold with the best total: one row (best, threshold, has_answer_mean).
+def best_threshold(scores: DataFrame, *names: str) -> DataFrame:
+    """The no-answer threshold with the best total, for each score column (default
+    ``score``): rows (metric, best, threshold, has_answer_mean).
 
-    Takes one row per question (qid, has_answer, answered, na_prob, score);
-    a null score means no prediction. The walk starts from the number of
-    questions without an answer and goes up in (na_prob, qid); the start wins ties.
+    Takes one row per question (qid, has_answer, answered, na_prob, scores); a
+    null score means no prediction. The walk starts from the number of questions
+    without an answer and goes up in (na_prob, qid); the start wins ties.
     ``has_answer_mean`` is the mean score of the questions that have an answer.
+    All columns share one walk.
     """
-    step = (
-        F.when(F.col("has_answer"), F.col(score)).when(F.col("answered"), -1.0).otherwise(0.0).cast("double")
+    names = names or ("score",)
+    has, ranked = F.col("has_answer"), F.col("na_prob").isNotNull()
+    lost = F.when(F.col("answered"), -1.0).otherwise(0.0)
+    steps = {
+        m: F.coalesce(F.when(has, F.col(m)).when(F.col(m).isNotNull(), lost).cast("double"), F.lit(0.0))
+        for m in names
+    }
+    walk = scores.where(ranked).select("na_prob", "qid", *names, *[s.alias(f"s_{m}") for m, s in steps.items()])
+    run = running_totals(walk, [], ["na_prob", "qid"], {f"run_{m}": F.col(f"s_{m}") for m in names})
+    peaks = run.agg(
+        *[
+            F.max(
+                F.when(
+                    F.col(m).isNotNull(),
+                    F.struct(F.round(f"run_{m}", DIGITS).alias("run"), (-F.col("na_prob")).alias("neg")),
+                )
+            ).alias(m)
+            for m in names
+        ]
     )
-    walked = scores.where(F.col("na_prob").isNotNull())
-    run = running_totals(
-        walked.where(F.col(score).isNotNull()).select("na_prob", "qid", step.alias("step")),
-        [],
-        ["na_prob", "qid"],
-        {"run": F.col("step")},
-    )
-    # One row each: the totals of all questions and the first best point of the walk.
     totals = scores.agg(
-        F.count_if(~F.col("has_answer")).cast("double").alias("start"),
-        F.count(score).alias("n"),
-        (
-            F.sum(F.when(F.col("has_answer") & F.col("na_prob").isNotNull(), F.coalesce(score, F.lit(0.0))))
-            / F.count_if(F.col("has_answer") & F.col("na_prob").isNotNull())
-        ).alias("has_answer_mean"),
-    )
-    peak = run.agg(F.max(F.struct(F.round("run", DIGITS).alias("run"), (-F.col("na_prob")).alias("neg"))).alias("peak"))
-    gain = F.col("peak")["run"]
-    return totals.withColumn("peak", peak.scalar()).select(
-        (100.0 * (F.col("start") + F.greatest(F.coalesce(gain, F.lit(0.0)), F.lit(0.0))) / F.col("n")).alias("best"),
-        F.when(gain > 0, -F.col("peak")["neg"]).otherwise(0.0).alias("threshold"),
-        "has_answer_mean",
+        F.count_if(~has).cast("double").alias("start"),
+        F.count_if(has & ranked).alias("n_has"),
+        *[F.count(m).alias(f"n_{m}") for m in names],
+        *[F.sum(F.when(has & ranked, F.coalesce(m, F.lit(0.0)))).alias(f"has_{m}") for m in names],
     )
+    # Two one-row tables become one row of structs per metric.
+    both = totals.withColumn("peaks", peaks.select(F.struct(*names)).scalar())
+    rows = []
+    for m in names:
+        gain = F.col(f"peaks.{m}.run")
+        best = 100.0 * (F.col("start") + F.greatest(F.coalesce(gain, F.lit(0.0)), F.lit(0.0))) / F.col(f"n_{m}")
+        at = F.when(gain > 0, -F.col(f"peaks.{m}.neg")).otherwise(0.0)
+        mean = F.col(f"has_{m}") / F.col("n_has")
+        rows.append(
+            F.struct(
+                F.lit(m).alias("metric"), best.alias("best"), at.alias("threshold"), mean.alias("has_answer_mean")
+            )
+        )
+    return both.select(F.inline(F.array(*rows)))
 
 
-def average_precision(scores: DataFrame, score: str = "score") -> DataFrame:
-    """Average precision over the no-answer ranking, times 100: one row (ap).
+def average_precision(scores: DataFrame, *names: str) -> DataFrame:
+    """Average precision over the no-answer ranking, times 100, for each score
+    column (default ``score``): rows (metric, ap).
 
     Rows of equal probability enter together. A tie group adds its precision
-    times its share of the true positives.
+    times its share of the true positives. All columns share one pass.
     """
-    has = F.col("has_answer")
-    groups = (
-        scores.where(F.col("na_prob").isNotNull())
-        .groupBy("na_prob")
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.sum(F.when(has, F.coalesce(F.col(score).cast("double"), F.lit(0.0))).otherwise(0.0)).alias("tp"),
+    names = names or ("score",)
+    has, ranked = F.col("has_answer"), F.col("na_prob").isNotNull()
+    # The group without a probability takes no part in the ranking, only in the count.
+    groups = scores.groupBy("na_prob").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(has).alias("pos"),
+        *[
+            F.sum(F.when(has, F.coalesce(F.col(m).cast("double"), F.lit(0.0))).otherwise(0.0)).alias(f"tp_{m}")
+            for m in names
+        ],
+    )
+    totals = {f"all_{m}": F.when(ranked, F.col(f"tp_{m}")).otherwise(0.0) for m in names}
+    totals["all_n"] = F.when(ranked, F.col("n")).otherwise(0)
+    run = running_totals(groups, [], ["na_prob"], totals)
+    areas = run.agg(
+        F.sum("pos").alias("pos"),
+        *[
+            F.sum(F.when(ranked, F.col(f"all_{m}") / F.col("all_n") * F.col(f"tp_{m}"))).alias(m)
+            for m in names
+        ],
+    )
+    return areas.select(
+        F.inline(
+            F.array(*[F.struct(F.lit(m).alias("metric"), (100.0 * F.col(m) / F.col("pos")).alias("ap")) for m in names])
         )
     )
-    run = running_totals(groups, [], ["na_prob"], {"all_n": F.col("n"), "all_tp": F.col("tp")})
-    area = run.agg(F.sum(F.col("all_tp") / F.col("all_n") * F.col("tp"))).scalar()
-    return scores.agg(F.count_if(has).alias("pos")).select((100.0 * area / F.col("pos")).alias("ap"))
 
 
 def na_prob_histogram(scores: DataFrame, bins: int = 20) -> DataFrame:

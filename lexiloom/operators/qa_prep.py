@@ -214,24 +214,22 @@ def doc_windows(
     df: DataFrame, n_tokens: Column, query_len: Column, max_len: int = 384, stride: int = 128
 ) -> DataFrame:
     """One row per window of each document: adds (window, start, length) and the
-    layout (room, step, n_windows, n_tokens) that ``max_context`` needs.
+    layout (room, step, n_windows, n_tokens, tail_from) that ``max_context`` needs.
 
     A window holds at most ``max_len`` - query - 3 tokens, and the last one ends
     with the document.
     """
     room = F.lit(max_len) - query_len - 3
     checked = F.when(room > 0, room).otherwise(F.raise_error(F.lit("no room for the document")).cast("int"))
-    laid = (
-        df.withColumn("n_tokens", n_tokens)
-        .withColumn("room", checked)
-        .withColumn("step", F.least(F.col("room"), F.lit(stride)))
-        .where(F.col("n_tokens") > 0)
-        .withColumn(
-            "n_windows",
-            (1 + F.greatest(F.lit(0), F.ceil((F.col("n_tokens") - F.col("room")) / F.col("step")))).cast("int"),
-        )
+    sized = compute_once(df, df.columns, n_tokens.alias("n_tokens"), checked.alias("room"))
+    step = F.least(F.col("room"), F.lit(stride))
+    more = F.greatest(F.lit(0), F.ceil((F.col("n_tokens") - F.col("room")) / step))
+    laid = compute_once(
+        sized, sized.columns, step.alias("step"), F.when(F.col("n_tokens") > 0, 1 + more).cast("int").alias("n_windows")
+    )
+    each = laid.withColumn("tail_from", _tail_from()).withColumn(
+        "window", F.explode(F.sequence(F.lit(0), F.col("n_windows") - 1))
     )
-    each = laid.withColumn("window", F.explode(F.sequence(F.lit(0), F.col("n_windows") - 1)))
     start = F.col("window") * F.col("step")
     return each.withColumn("start", start).withColumn(
         "length", F.least(F.col("room"), F.col("n_tokens") - start)
@@ -261,11 +259,42 @@ def best_window(p: Column, layout: Callable[[str], Column] = F.col) -> Column:
     )
 
 
+def _tail_from() -> Column:
+    """The first token that the last window shows best, searched once per
+    document. From there on it stays the best: its left context grows while the
+    right context of the windows before it shrinks."""
+    last = F.col("n_windows") - 1
+    tail = last * F.col("step")
+    covered = (last - 1) * F.col("step") + F.col("room") - 1
+    hits = F.filter(
+        F.when(tail <= covered, F.sequence(tail, covered)).otherwise(F.array().cast("array<int>")),
+        lambda p: best_window(p) == last,
+    )
+    return F.when(last == 0, 0).otherwise(F.coalesce(F.get(hits, 0), F.greatest(covered + 1, tail)))
+
+
 def max_context(windows: DataFrame) -> DataFrame:
     """Add ``is_max_context``: per token of the window, whether no other window
-    of the document shows it with more context."""
-    places = F.sequence(F.col("start"), F.col("start") + F.col("length") - 1)
-    return windows.withColumn("is_max_context", F.transform(places, lambda p: best_window(p) == F.col("window")))
+    of the document shows it with more context. These tokens are a run, from
+    ``context_from`` to ``context_to``."""
+    w, start, end = F.col("window"), F.col("start"), F.col("start") + F.col("length") - 1
+    last, tail = F.col("n_windows") - 1, F.col("tail_from")
+    upto = lambda k: F.floor((2 * k * F.col("step") + F.col("step") + F.col("room") - 1) / 2).cast("int")
+    first = F.when(w == last, tail).when(w == 0, 0).otherwise(F.greatest(start, upto(w - 1) + 1))
+    final = F.when(w == last, end).otherwise(
+        F.least(end, tail - 1, F.when(w == last - 1, end).otherwise(upto(w)))
+    )
+    run = windows.withColumn("context_from", first).withColumn("context_to", final)
+    lo, hi = F.col("context_from"), F.col("context_to")
+    flags = F.when(
+        hi >= lo,
+        F.concat(
+            F.array_repeat(F.lit(False), lo - start),
+            F.array_repeat(F.lit(True), hi - lo + 1),
+            F.array_repeat(F.lit(False), end - hi),
+        ),
+    ).otherwise(F.array_repeat(F.lit(False), F.col("length")))
+    return run.withColumn("is_max_context", flags)
 
 
 def assemble_features(

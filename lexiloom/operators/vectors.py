@@ -12,6 +12,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lexiloom.functions.arrays import entries
 from lexiloom.functions.vectors import dot, doubles, unit
 from lexiloom.operators.skew import deal, hot_keys, repeat, spread_join
 from lexiloom.session import cut_lineage
@@ -176,7 +177,7 @@ def rerank_in_context(
     units = vectors.select("word", unit(F.col("vec")).alias("u"))
     dim = vector_size(vectors)
     context = (
-        queries.select("qid", "target_idx", F.posexplode("tokens").alias("pos", "word"))
+        queries.select("qid", "target_idx", F.posexplode(entries(F.col("tokens"))).alias("pos", "word"))
         .where(F.col("pos") != F.col("target_idx"))
         .select("qid", "word")
         .distinct()
@@ -216,7 +217,7 @@ def substitutes(
     lists = found.groupBy("word").agg(F.array_sort(F.collect_list(F.struct("rank", "other"))).alias("__g"))
     per_query = spread_join(targets, lists, ["word"], "left", ["qid"]).select("qid", "__g")
     if context:
-        cands = per_query.select("qid", F.explode("__g").alias("g")).select("qid", "g.other")
+        cands = per_query.select("qid", F.explode(entries(F.col("__g"))).alias("g")).select("qid", "g.other")
         ranked = rerank_in_context(cands, queries, vectors, topn or k)
         lists = ranked.groupBy("qid").agg(F.array_sort(F.collect_list(F.struct("rank", "other"))).alias("__g"))
         per_query = queries.select("qid").join(lists, "qid", "left")

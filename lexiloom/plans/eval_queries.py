@@ -159,8 +159,7 @@ def _best(spark, sf):
 )
 def _best_v2(spark, sf):
     scored = E.question_table(*sides(spark, sf))
-    out = [E.best_threshold(scored, m).select(F.lit(m).alias("metric"), "*") for m in ("exact", "f1")]
-    return rounded(out[0].unionByName(out[1]), "best", "has_answer_mean")
+    return rounded(E.best_threshold(scored, "exact", "f1"), "best", "has_answer_mean")
 
 
 def ap_sql(source: str, score: str) -> str:
@@ -177,18 +176,14 @@ def ap_sql(source: str, score: str) -> str:
     "average_precision",
     f"""
     WITH {V2}, u AS (SELECT *, CASE WHEN has_answer THEN 1.0 ELSE 0.0 END AS oracle FROM t)
-    SELECT 'exact' AS curve, ap FROM ({ap_sql('u', 'exact')})
-    UNION ALL SELECT 'f1' AS curve, ap FROM ({ap_sql('u', 'f1')})
-    UNION ALL SELECT 'oracle' AS curve, ap FROM ({ap_sql('u', 'oracle')})
+    SELECT 'exact' AS metric, ap FROM ({ap_sql('u', 'exact')})
+    UNION ALL SELECT 'f1' AS metric, ap FROM ({ap_sql('u', 'f1')})
+    UNION ALL SELECT 'oracle' AS metric, ap FROM ({ap_sql('u', 'oracle')})
     """,
 )
 def _ap(spark, sf):
     scored = E.question_table(*sides(spark, sf)).withColumn("oracle", F.col("has_answer").cast("double"))
-    out = None
-    for curve in ("exact", "f1", "oracle"):
-        row = E.average_precision(scored, curve).select(F.lit(curve).alias("curve"), F.round("ap", 6).alias("ap"))
-        out = row if out is None else out.unionByName(row)
-    return out
+    return rounded(E.average_precision(scored, "exact", "f1", "oracle"), "ap")
 
 
 @query(

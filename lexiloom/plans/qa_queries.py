@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lexiloom.functions import text as T
-from lexiloom.functions.arrays import bind, compute_once
+from lexiloom.functions.arrays import bind, compute_once, entries
 from lexiloom.operators import ngrams as N
 from lexiloom.operators import qa_prep as Q
 from lexiloom.plans.bindings import (
@@ -181,12 +181,12 @@ def _windows(spark, sf):
 )
 def _max_context(spark, sf):
     w = Q.max_context(windows_of(spark, sf))
-    best = F.transform("is_max_context", lambda b, i: F.when(b, F.col("start") + i).otherwise(0).cast("bigint"))
+    first, last = F.col("context_from").cast("bigint"), F.col("context_to").cast("bigint")
     return w.select(
         "doc_id",
         F.col("window").cast("bigint").alias("window"),
         F.size(F.filter("is_max_context", lambda b: b)).cast("bigint").alias("n_best"),
-        F.aggregate(best, F.lit(0).cast("bigint"), lambda t, x: t + x).alias("pos_sum"),
+        F.when(last >= first, F.floor((first + last) * (last - first + 1) / 2)).otherwise(0).alias("pos_sum"),
     )
 
 
@@ -211,8 +211,9 @@ SUBTOKENS = """
     """,
 )
 def _subtokens(spark, sf):
-    r = squad_rows(spark, sf).select("qid", T.qa_tokens(F.col("context")).alias("toks")).where(F.size("toks") > 0)
-    m = r.select("qid", Q.project_subtoken_index(F.col("toks"), pieces).alias("m"))
+    r = squad_rows(spark, sf)
+    toks = compute_once(r, ["qid"], T.qa_tokens(F.col("context")).alias("toks")).where(F.size("toks") > 0)
+    m = compute_once(toks, ["qid"], Q.project_subtoken_index(F.col("toks"), pieces).alias("m"))
     total = lambda a: F.aggregate(a, F.lit(0).cast("bigint"), lambda t, x: t + x)
     return m.select(
         "qid",
@@ -396,7 +397,7 @@ def _answer_span(spark, sf):
 )
 def _encode(spark, sf):
     ex = example_subtokens(spark, sf)
-    terms = ex.select(F.explode("sub_tokens").alias("term"))
+    terms = ex.select(F.explode(entries(F.col("sub_tokens"))).alias("term"))
     vocab = N.frequency_vocab(terms, 5000, ("<unk>", "<pad>", "[CLS]", "[SEP]"))
     asked = ex.withColumn(
         "query_tokens", F.slice(F.flatten(F.transform(T.tokens(F.col("question")), pieces)), 1, 12)

@@ -11,6 +11,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from lexiloom.functions import text as T
+from lexiloom.functions.arrays import entries
 from lexiloom.plans.bindings import EVENT_TAGS_SQL, NBEST_SQL, nbest_events, nq_rows, squad_rows, tagged_events
 from lexiloom.plans.bitext_queries import PAIRS
 from lexiloom.plans.ngram_queries import TURN_STREAM
@@ -33,7 +34,7 @@ def _counts(spark, sf):
     path = new_path(spark)
     c = text_table(spark, sf, "conversations", "conv_id").select("role", T.tokens(F.col("text")).alias("tokens"))
     # One count table per role: words of both roles are repeated keys in the file.
-    per_role = c.select("role", F.explode("tokens").alias("gram")).groupBy("role", "gram").agg(
+    per_role = c.select("role", F.explode(entries(F.col("tokens"))).alias("gram")).groupBy("role", "gram").agg(
         F.count(F.lit(1)).alias("cnt")
     )
     tables.write_counts(per_role, path)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lexiloom.functions import text as T
+from lexiloom.functions.arrays import compute_once
 from lexiloom.plans.bindings import EVENT_TAGS_SQL, gold_tag, pieces
 from lexiloom.plans.registry import query, table, text_table
 from lexiloom.plans.sqltext import normalized, stripped, tok, token_stream
@@ -80,7 +81,7 @@ def _normalize(spark, sf):
     """,
 )
 def _markup(spark, sf):
-    p = text_table(spark, sf, "pages", "page_id").select("page_id", T.tokens(F.col("html")).alias("toks"))
+    p = compute_once(text_table(spark, sf, "pages", "page_id"), ["page_id"], T.tokens(F.col("html")).alias("toks"))
     return p.where(F.size("toks") > 0).select(
         "page_id",
         F.size(T.drop_markup_tokens(F.col("toks"))).cast("bigint").alias("n_kept"),
@@ -138,7 +139,7 @@ def _semichar(spark, sf):
     """,
 )
 def _noise(spark, sf):
-    d = text_table(spark, sf, "documents", "doc_id").select("doc_id", T.tokens(F.col("text")).alias("toks"))
+    d = compute_once(text_table(spark, sf, "documents", "doc_id"), ["doc_id"], T.tokens(F.col("text")).alias("toks"))
     doc = F.col("doc_id")
 
     def one(t, i):
