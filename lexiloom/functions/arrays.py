@@ -74,16 +74,33 @@ def _running_sum(arr: Column, kind: str) -> Column:
     )
 
 
+SHORT = 256  # up to this size a linear search per entry beats counting runs
+MARK = "\u0001"
+
+
 def numbered(arr: Column) -> Column:
-    """Sort an array and tag each value with its occurrence number, so that a
-    set operation on the result is a bag operation on the input."""
-    return bind(
-        F.array_sort(arr),
-        lambda ordered: F.transform(
-            ordered,
-            lambda x, i: F.concat_ws("\u0001", x, (i - F.array_position(ordered, x)).cast("string")),
-        ),
-    )
+    """Sort a string array and tag each value with its occurrence number, so that
+    a set operation on the result is a bag operation on the input."""
+    tag = lambda x, k: F.concat_ws(MARK, x, k.cast("string"))
+
+    def by_search(s: Column) -> Column:
+        return F.transform(s, lambda x, i: tag(x, i + 1 - F.array_position(s, x)))
+
+    def by_runs(s: Column) -> Column:
+        opens = F.transform(
+            s, lambda x, i: F.when((i == 0) | (x != F.element_at(s, F.greatest(i, F.lit(1)))), 1).otherwise(0)
+        )
+
+        def place(v: Column) -> Column:
+            firsts = F.filter(F.transform(v["o"], lambda o, i: F.when(o == 1, i)), lambda i: i.isNotNull())
+            return bind(
+                F.struct(firsts.alias("f"), running_sum(v["o"]).alias("r")),
+                lambda w: F.transform(s, lambda x, i: tag(x, i - F.element_at(w["f"], F.element_at(w["r"], i + 1)))),
+            )
+
+        return bind(F.struct(opens.alias("o")), place)
+
+    return bind(F.array_sort(arr), lambda s: F.when(F.size(s) <= SHORT, by_search(s)).otherwise(by_runs(s)))
 
 
 def bag_overlap(a: Column, b: Column) -> Column:

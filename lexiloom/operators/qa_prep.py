@@ -16,7 +16,7 @@ from lexiloom.functions.text import (
     tokens,
 )
 from lexiloom.operators.ordered import positions
-from lexiloom.operators.skew import spread_join
+from lexiloom.operators.skew import lookup_join, spread_join
 
 
 def char_span_to_token_span(context: Column, start: Column, length: Column) -> Column:
@@ -415,7 +415,7 @@ def encode_arrays(df: DataFrame, key: str, columns: Mapping[str, str], vocab: Da
 
     stacked = F.concat(*[tagged(n) for n in range(len(names))])
     each = df.select(key, F.inline(stacked))
-    coded = spread_join(each, vocab.select("term", "ix"), ["term"], "left", [key, "col", "pos"])
+    coded = lookup_join(each, vocab.select("term", "ix"), ["term"], "left", [key, "col", "pos"])
     index = F.coalesce("ix", F.lit(unk).cast("bigint"))
     back = coded.groupBy(key).agg(
         *[

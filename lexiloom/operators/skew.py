@@ -48,6 +48,28 @@ def spread_join(
     return dealt.join(repeat(right, hot, on), on + ["__part"], how).drop("__part")
 
 
+MAX_LOOKUP_ROWS = 200_000
+MAX_LOOKUP_BYTES = 64 << 20
+
+
+def is_small(df: DataFrame) -> bool:
+    """Whether a table of plain columns is within the broadcast bounds, by reading
+    at most one row more than allowed."""
+    width = sum((F.coalesce(F.length(F.col(c).cast("string")), F.lit(0)) * 4 + 16 for c in df.columns), F.lit(0))
+    seen = df.limit(MAX_LOOKUP_ROWS + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("b")).first()
+    return seen["n"] <= MAX_LOOKUP_ROWS and (seen["b"] or 0) <= MAX_LOOKUP_BYTES
+
+
+def lookup_join(
+    left: DataFrame, table: DataFrame, on: Sequence[str], how: str = "left", spread: Sequence[str | Column] = ()
+) -> DataFrame:
+    """Join with a table that is often small: broadcast if its checked size
+    allows it, else ``spread_join``. For tables that are cheap to read."""
+    if is_small(table):
+        return left.join(F.broadcast(table), list(on), how)
+    return spread_join(left, table, on, how, spread)
+
+
 def deal(left: DataFrame, hot: DataFrame, on: Sequence[str], spread: Sequence[str | Column]) -> DataFrame:
     """The big side with ``__part``: which of its key's parts a row goes to."""
     parts = F.coalesce(F.col("__fan"), F.lit(1))

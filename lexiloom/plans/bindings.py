@@ -134,7 +134,7 @@ QA_SQL = """
 def qa_pairs(spark, sf) -> DataFrame:
     """(qid, answers, pred, na_prob) of the conversations; the joins are on the
     whole (conversation, turn) key, so no conversation is paired with itself."""
-    c = text_table(spark, sf, "conversations", "conv_id").select("conv_id", "turn", "text")
+    c = text_table(spark, sf, "conversations", "conv_id", "turn").select("conv_id", "turn", "text")
 
     def later(n: int) -> DataFrame:
         return c.select("conv_id", (F.col("turn") - n).alias("turn"), F.col("text").alias(f"t{n}"))

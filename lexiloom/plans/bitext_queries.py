@@ -21,7 +21,7 @@ PAIRS = f"""
 
 
 def pairs(spark, sf):
-    c = text_table(spark, sf, "conversations", "conv_id")
+    c = text_table(spark, sf, "conversations", "conv_id", "turn")
     words = T.tokens(F.lower("text"))
     u = c.where(F.col("role") == "user").select("conv_id", "turn", words.alias("src"))
     a = c.where(F.col("role") == "assistant").select("conv_id", (F.col("turn") - 1).alias("turn"), words.alias("tgt"))
@@ -80,7 +80,7 @@ GRAMS = f"""
 
 def lines(spark, sf, *extra):
     """Reference lines and the same lines with some words changed or lost."""
-    c = text_table(spark, sf, "conversations", "conv_id")
+    c = text_table(spark, sf, "conversations", "conv_id", "turn")
     changed = F.replace(F.replace("text", F.lit(" the "), F.lit(" a ")), F.lit(" la "), F.lit(" "))
     return (
         c.select("conv_id", "turn", *extra, "text"),

@@ -8,6 +8,7 @@ from lexiloom.operators import qa_eval as E
 from lexiloom.plans.bindings import NA_SQL, QA_SQL, na_scores, qa_pairs
 from lexiloom.plans.registry import query
 from lexiloom.plans.sqltext import normalized, normalized_tokens
+from lexiloom.session import cut_lineage
 
 # Per (question, answer): exact match and the token counts of the F1.
 PAIRS = f"""
@@ -158,7 +159,7 @@ def _best(spark, sf):
     """,
 )
 def _best_v2(spark, sf):
-    scored = E.question_table(*sides(spark, sf))
+    scored = cut_lineage(E.question_table(*sides(spark, sf)))
     return rounded(E.best_threshold(scored, "exact", "f1"), "best", "has_answer_mean")
 
 
@@ -182,7 +183,7 @@ def ap_sql(source: str, score: str) -> str:
     """,
 )
 def _ap(spark, sf):
-    scored = E.question_table(*sides(spark, sf)).withColumn("oracle", F.col("has_answer").cast("double"))
+    scored = cut_lineage(E.question_table(*sides(spark, sf))).withColumn("oracle", F.col("has_answer").cast("double"))
     return rounded(E.average_precision(scored, "exact", "f1", "oracle"), "ap")
 
 

@@ -31,10 +31,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def text_table(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
+def text_table(spark: SparkSession, sf_dir: str, name: str, *key: str) -> DataFrame:
     """A table whose rows carry whole texts, dealt over the cores if its files
     give fewer scan tasks than there are cores. A table of many files or row
     groups is read as it lies, without a shuffle."""
     df = table(spark, sf_dir, name)
     cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores, *key) if df.rdd.getNumPartitions() < cores else df

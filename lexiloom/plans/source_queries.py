@@ -32,7 +32,7 @@ def new_path(spark) -> str:
 )
 def _counts(spark, sf):
     path = new_path(spark)
-    c = text_table(spark, sf, "conversations", "conv_id").select("role", T.tokens(F.col("text")).alias("tokens"))
+    c = text_table(spark, sf, "conversations", "conv_id", "turn").select("role", T.tokens(F.col("text")).alias("tokens"))
     # One count table per role: words of both roles are repeated keys in the file.
     per_role = c.select("role", F.explode(entries(F.col("tokens"))).alias("gram")).groupBy("role", "gram").agg(
         F.count(F.lit(1)).alias("cnt")
@@ -51,7 +51,7 @@ def _counts(spark, sf):
 )
 def _lines(spark, sf):
     path = new_path(spark)
-    c = text_table(spark, sf, "conversations", "conv_id")
+    c = text_table(spark, sf, "conversations", "conv_id", "turn")
     each = c.select("conv_id", "turn", F.posexplode(F.split("text", "\n")).alias("i", "t"))
     lines.write_lines(each, path, ["conv_id", "turn", "i"], F.col("t"))
     return lines.read_lines(spark, path).select("line_no", "text")
@@ -306,7 +306,7 @@ def _write_predictions(spark, sf):
     """,
 )
 def _bitext(spark, sf):
-    c = text_table(spark, sf, "conversations", "conv_id").withColumn(
+    c = text_table(spark, sf, "conversations", "conv_id", "turn").withColumn(
         "flat", F.array_join(T.tokens(F.col("text")), " ")
     )
     u = c.where(F.col("role") == "user").select("conv_id", "turn", F.col("flat").alias("u"))

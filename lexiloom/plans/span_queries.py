@@ -288,7 +288,7 @@ def basic_sql(expr: str) -> str:
     """,
 )
 def _project(spark, sf):
-    c = text_table(spark, sf, "conversations", "conv_id")
+    c = text_table(spark, sf, "conversations", "conv_id", "turn")
     orig = F.array_join(F.slice(T.qa_tokens(F.col("text")), 1, 30), " ")
     o = c.select("conv_id", "turn", orig.alias("orig"))
     cut = F.array_join(F.slice(T.basic_tokens(F.col("orig")), 3, 5), " ")
@@ -303,5 +303,5 @@ def _project(spark, sf):
     f"SELECT conv_id, turn, md5(array_to_string({basic_sql('text')}, ' ')) AS digest FROM conversations",
 )
 def _basic(spark, sf):
-    c = text_table(spark, sf, "conversations", "conv_id")
+    c = text_table(spark, sf, "conversations", "conv_id", "turn")
     return c.select("conv_id", "turn", F.md5(F.array_join(T.basic_tokens(F.col("text")), " ")).alias("digest"))

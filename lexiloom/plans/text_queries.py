@@ -62,7 +62,7 @@ def _offsets(spark, sf):
 
 @query("normalize_answer", f"SELECT conv_id, turn, {normalized('text')} AS answer FROM conversations")
 def _normalize(spark, sf):
-    return text_table(spark, sf, "conversations", "conv_id").select(
+    return text_table(spark, sf, "conversations", "conv_id", "turn").select(
         "conv_id", "turn", T.normalize_answer(F.col("text")).alias("answer")
     )
 
@@ -175,7 +175,7 @@ def _wordpieces(spark, sf):
     """,
 )
 def _until_eos(spark, sf):
-    c = text_table(spark, sf, "conversations", "conv_id")
+    c = text_table(spark, sf, "conversations", "conv_id", "turn")
     marked = F.concat(F.lit("  "), F.col("text"), F.lit(" <EOS> "), F.col("role"), F.lit(" <EOS>"))
     return c.select("conv_id", "turn", T.until_eos(marked).alias("answer"))
 

@@ -15,6 +15,8 @@ def local_session(cpus: int | str = "*", app: str = "lexiloom", **conf: str) ->
         .appName(app)
         .config("spark.sql.shuffle.partitions", n)
         .config("spark.sql.adaptive.enabled", "true")
+        # Local data is small but costly per row: keep the cores busy.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")

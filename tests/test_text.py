@@ -1,4 +1,6 @@
+import random
 import string
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -107,3 +109,11 @@ def test_project_to_source_text(spark):
     ]
     for pred, orig, want in cases:
         assert one(spark, T.project_to_source_text(F.col("p"), F.col("o")), p=pred, o=orig) == want
+
+
+def test_bags_of_long_arrays(spark):
+    rng = random.Random(7)
+    for n in (200, 257, 900):
+        a = [rng.choice("abcdefghij") * rng.randint(1, 3) for _ in range(n)]
+        b = [rng.choice("abcdefghij") * rng.randint(1, 3) for _ in range(n)]
+        assert one(spark, A.bag_overlap(F.col("a"), F.col("b")), a=a, b=b) == sum((Counter(a) & Counter(b)).values())
