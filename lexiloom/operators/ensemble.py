@@ -7,17 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lexiloom.operators.skew import lookup_join
+
 
 def _weighted(rows: DataFrame, weights: DataFrame) -> DataFrame:
-    """Rows of known models with their weight. The weight table has one row per model."""
-    return rows.join(weights.select("model", "weight"), "model")
+    """Rows of known models with their weight. The weight table has one row per
+    model; it is broadcast once its size is checked, since a few models hold all rows."""
+    return lookup_join(rows, weights.select("model", "weight"), ["model"], "inner", rows.columns)
 
 
 def unknown_models(rows: DataFrame, weights: DataFrame) -> DataFrame:
     """Number of rows per model that has no weight; those rows take no part."""
-    return (
-        rows.join(weights.select("model"), "model", "left_anti").groupBy("model").agg(F.count(F.lit(1)).alias("n"))
-    )
+    per_model = rows.groupBy("model").agg(F.count(F.lit(1)).alias("n"))
+    return per_model.join(weights.select("model"), "model", "left_anti")
 
 
 def _best_text(rows: DataFrame, score: Column) -> DataFrame:

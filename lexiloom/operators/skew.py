@@ -33,6 +33,7 @@ def spread_join(
     how: str = "inner",
     spread: Sequence[str | Column] = (),
     rows_per_task: int = ROWS_PER_TASK,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Inner, left, semi or anti join of a big ``left`` with ``right`` on equal keys.
 
@@ -41,9 +42,13 @@ def spread_join(
     right rows are repeated for each of those tasks. All other keys join as
     usual. The deal depends on values only, so a task that is run again after a
     lost executor deals the same way.
+
+    Finding the hot keys reads ``left`` once more. Where several joins follow
+    each other, pass ``hot`` found on the first input, so that the reads add up
+    instead of doubling with every join.
     """
     on = list(on)
-    hot = hot_keys(left.select(*on), on, rows_per_task)
+    hot = hot_keys(left.select(*on), on, rows_per_task) if hot is None else hot
     dealt = deal(left, hot, on, spread or left.columns)
     return dealt.join(repeat(right, hot, on), on + ["__part"], how).drop("__part")
 

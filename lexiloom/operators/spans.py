@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from lexiloom.functions.arrays import bind, compute_once, top_indexes
 from lexiloom.functions.text import join_wordpieces, project_to_source_text
-from lexiloom.operators.skew import spread_join
+from lexiloom.operators.skew import hot_keys, spread_join
 
 DIGITS = 9  # scores that agree to nine decimals count as ties
 
@@ -144,7 +144,7 @@ def nbest_spans(
     """The ``n`` best distinct answers per question: (qid, rank, text,
     start_logit, end_logit, probability).
 
-    ``questions`` (qid) lists questions that may have no candidate; they get the
+    ``questions`` (qid) lists all questions; those without a candidate get the
     ``fallback`` text and score. With ``nulls`` (see ``null_scores``) the empty
     answer competes too and is always in the list; a list of the empty answer
     alone is preceded by ``empty``.
@@ -179,15 +179,9 @@ def nbest_spans(
         top = top.withColumn("rank", F.row_number().over(Window.partitionBy("qid").orderBy("rank")))
     top = top.select("qid", "rank", "text", "start_logit", "end_logit")
     if questions is not None:
-        bare = questions.select("qid").join(top.select("qid").distinct(), "qid", "left_anti")
-        top = top.unionByName(
-            bare.select(
-                "qid",
-                F.lit(1).alias("rank"),
-                F.lit(text).alias("text"),
-                F.lit(value).alias("start_logit"),
-                F.lit(value).alias("end_logit"),
-            )
+        filled = {"rank": F.lit(1), "text": F.lit(text), "start_logit": F.lit(value), "end_logit": F.lit(value)}
+        top = questions.select("qid").join(top, "qid", "left").select(
+            "qid", *[F.coalesce(c, v).alias(c) for c, v in filled.items()]
         )
     scored = top.withColumn("__s", F.col("start_logit") + F.col("end_logit"))
     whole = Window.partitionBy("qid")
@@ -208,12 +202,13 @@ def softmax_within(
     keys dealt over several tasks.
     """
     keys = list(key)
+    hot = hot_keys(df.select(*keys), keys)
     peak = df.groupBy(*keys).agg(F.max(score).alias("__m"))
-    shifted = spread_join(df, peak, keys, "inner", spread).withColumn("__w", F.exp(F.col(score) - F.col("__m")))
+    shifted = spread_join(df, peak, keys, "inner", spread, hot=hot).withColumn("__w", F.exp(F.col(score) - F.col("__m")))
     total = shifted.groupBy(*keys).agg(F.sum("__w").alias("__t"))
     both = peak.join(total, keys)
     return (
-        spread_join(df, both, keys, "inner", spread)
+        spread_join(df, both, keys, "inner", spread, hot=hot)
         .withColumn(out, F.exp(F.col(score) - F.col("__m")) / F.col("__t"))
         .drop("__m", "__t")
     )

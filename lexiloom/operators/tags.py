@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from lexiloom.functions.text import split_tag
 from lexiloom.operators.ordered import positions
-from lexiloom.operators.skew import spread_join
+from lexiloom.operators.skew import lookup_join
 
 SLAB = 65536
 
@@ -135,4 +135,4 @@ def argmax_index(scores: Column) -> Column:
 def argmax_label(df: DataFrame, labels: DataFrame, scores: str = "scores", spread: Sequence[str] = ()) -> DataFrame:
     """Add the label (ix, label) of the largest score."""
     best = df.withColumn("ix", argmax_index(F.col(scores)))
-    return spread_join(best, labels.select("ix", "label"), ["ix"], "left", spread)
+    return lookup_join(best, labels.select("ix", "label"), ["ix"], "left", spread)

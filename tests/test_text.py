@@ -22,7 +22,7 @@ def test_tokens_split_on_every_python_space(spark):
     assert one(spark, T.tokens(F.col("t")), t="") == []
 
 
-def reference_map(text):
+def map_by_hand(text):
     tokens, at, gap = [], [], True
     for c in text:
         if c in " \t\r\n ":
@@ -36,7 +36,7 @@ def reference_map(text):
 
 @pytest.mark.parametrize("text", ["  ab c d\te", "a", " ", "x y z\r\n", "\U0001f600 é \U0001f600b"])
 def test_offsets(spark, text):
-    tokens, at = reference_map(text)
+    tokens, at = map_by_hand(text)
     assert one(spark, T.qa_tokens(F.col("t")), t=text) == tokens
     assert one(spark, T.char_to_token(F.col("t")), t=text) == at
     starts = one(spark, T.token_starts(F.col("t")), t=text)
