@@ -107,7 +107,8 @@ def _bleu(spark, sf):
     f"""
     WITH {GRAMS.replace('{by}', 'role')}
     SELECT 'good' AS run, by_key AS testset, round(bleu, 6) AS score FROM sb
-    UNION ALL SELECT DISTINCT 'short', role, 0.0::DOUBLE FROM conversations
+    UNION ALL SELECT 'short', by_key, CASE WHEN EXISTS (SELECT 1 FROM conversations WHERE role = by_key
+      AND (conv_id * 100 + turn) % 7 = 0) THEN 0.0::DOUBLE ELSE round(bleu, 6) END FROM sb
     UNION ALL SELECT DISTINCT 'absent', role, 0.0::DOUBLE FROM conversations
     """,
 )
