@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from lexiloom.operators import ngrams as N
 from lexiloom.operators import segment as S
+from lexiloom.operators import skew
 from lexiloom.operators.ordered import positions, running_totals
 from lexiloom.operators.skew import spread_join
 
@@ -137,3 +138,14 @@ def test_running_totals_do_not_depend_on_the_blocks(spark, blocks):
         assert t == seen[k]
     numbers = sorted(r.pos for r in positions(df, [], ["o", "id"], blocks=blocks).collect())
     assert numbers == list(range(500))
+
+
+@pytest.mark.parametrize("bound", [0, 200_000])
+def test_lookup_is_the_same_with_and_without_broadcast(spark, monkeypatch, bound):
+    monkeypatch.setattr(skew, "MAX_LOOKUP_ROWS", bound)
+    left = spark.range(50).select((F.col("id") % 4).alias("k"), "id")
+    table = spark.createDataFrame([(0, "a"), (1, "b"), (2, "c")], "k bigint, v string")
+    got = {(r.id, r.v) for r in skew.lookup_join(left, table, ["k"], "left", ["id"]).collect()}
+    assert got == {(i, {0: "a", 1: "b", 2: "c"}.get(i % 4)) for i in range(50)}
+    plan = skew.lookup_join(left, table, ["k"], "left", ["id"])._jdf.queryExecution().toString()
+    assert ("__part" in plan) == (bound == 0)
