@@ -20,6 +20,8 @@ their names, pass through; an empty table gives an empty table.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -46,19 +48,25 @@ def heavy_digests(digests: DataFrame, support: float) -> DataFrame:
     )
 
 
-def duplicate_classes(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", support: float | None = None
-) -> DataFrame:
-    """One row per row of ``docs``: id, keep_id, group_size, kept, text_sha256.
+def classes_and_winners(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    support: float | None = None,
+    also: Mapping[str, Column] | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """(one row per row of ``docs``: id, keep_id, group_size, kept, text_sha256 and the
+    columns ``also``; the heavy digests).
 
     ``support`` defaults to a quarter of one shuffle partition's share, so that
     no group left to the shuffle outweighs the partition it lands in.
     """
     share = support or max(1 / (4 * partitions(docs)), 1e-4)
+    more = dict(also or {})
     rows = stored(
-        docs.select(F.col(id_col).alias("id"), digest(F.col(text_col)).alias("d")).withColumn(
-            "r", F.monotonically_increasing_id()
-        )
+        docs.select(
+            F.col(id_col).alias("id"), digest(F.col(text_col)).alias("d"), *[c.alias(n) for n, c in more.items()]
+        ).withColumn("r", F.monotonically_increasing_id())
     )
     # Written once as well: both branches below ask whether a digest is heavy.
     heavy = stored(heavy_digests(rows, share))
@@ -69,13 +77,23 @@ def duplicate_classes(
         .withColumn("n", F.count(F.lit(1)).over(group))
         .withColumn("top", F.max(F.struct("id", "r")).over(group))
     )
-    return here.select("id", "r", "d", "n", "top").unionByName(rest.select("id", "r", "d", "n", "top")).select(
+    columns = ["id", "r", "d", "n", "top", *more]
+    classes = here.select(*columns).unionByName(rest.select(*columns)).select(
         F.col("id").alias(id_col),
         F.col("top.id").alias("keep_id"),
         F.col("n").alias("group_size"),
         (F.col("r") == F.col("top.r")).alias("kept"),
         F.lower(F.hex("d")).alias("text_sha256"),
+        *more,
     )
+    return classes, heavy
+
+
+def duplicate_classes(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", support: float | None = None
+) -> DataFrame:
+    """One row per row of ``docs``: id, keep_id, group_size, kept, text_sha256."""
+    return classes_and_winners(docs, id_col, text_col, support)[0]
 
 
 def drop_duplicates(

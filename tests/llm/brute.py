@@ -98,3 +98,43 @@ def token_ids(tokenizer, text):
 
 def crc(ids):
     return zlib.crc32(b"".join(i.to_bytes(4, "little") for i in ids))
+
+
+def pii_base(text):
+    """{kind: spans} of the base kinds, by the fixed grammars."""
+    text = text or ""
+    luhn = lambda d: sum(sum(divmod(int(c) * (1 + i % 2), 10)) for i, c in enumerate(reversed(d))) % 10 == 0
+    only = lambda s: re.sub("[^0-9]", "", s)
+    checks = {
+        "email": (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", lambda s: True),
+        "ip": (r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", lambda s: all(int(p) <= 255 for p in s.split("."))),
+        "card": (r"[0-9]([\x20-]?[0-9])+", lambda s: 16 <= len(only(s)) <= 19 and luhn(only(s))),
+        "phone": (r"\+[0-9][\x20().0-9-]+[0-9]", lambda s: 8 <= len(only(s)) <= 15),
+    }
+    return {k: [m.span() for m in re.finditer(p, text) if ok(m[0])] for k, (p, ok) in checks.items()}
+
+
+def secret_base(text):
+    """(kind, start, end) of the base kinds, by start and kind."""
+    text = text or ""
+    letters = "|".join("".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in w) for w in ("password", "passwd", "secret", "token", "api_?key"))
+    found = [("assign", *m.span()) for m in re.finditer(rf"({letters})[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", text) if len(m[2]) >= 12]
+    found += [("access", *m.span()) for m in re.finditer(r"AKIA[A-Z0-9]+", text) if len(m[0]) >= 18]
+    found += [("hex", *m.span()) for m in re.finditer(r"[0-9a-f]+", text) if len(m[0]) >= 16]
+    return sorted(found, key=lambda f: (f[1], ["assign", "access", "hex"].index(f[0])))
+
+
+def repeats(texts, length=200):
+    """[(n_bytes, n_removed, n_spans, kept sha)] of the texts."""
+    raws = [(t or "").encode() for t in texts]
+    seen = Counter(r[i : i + length] for r in raws for i in range(len(r) - length + 1))
+    out = []
+    for r in raws:
+        gone = bytearray(len(r))
+        for i in range(len(r) - length + 1):
+            if seen[r[i : i + length]] > 1:
+                gone[i : i + length] = b"\x01" * length
+        kept = bytes(b for b, g in zip(r, gone) if not g)
+        runs = sum(g and not (i and gone[i - 1]) for i, g in enumerate(gone))
+        out.append((len(r), sum(gone), runs, hashlib.sha256(kept).hexdigest()))
+    return out
