@@ -3,8 +3,9 @@
 Every source is cut into blocks by a hash of the row. A target above the size of
 its source takes every document once and draws the rest; below it only draws.
 The draw takes whole blocks in a permuted order; in the one block that the
-target cuts, finer cells and then documents are taken while they fit, so a
-source misses its target by less than the smallest document left out there.
+target cuts, finer cells and then documents are taken while they fit, and the
+smallest one left if that is nearer, so a source misses its target by at most
+half of the smallest document left out there.
 
 The blocks that were drawn are dealt over ``shards`` (a power of two) by a
 multivariate-hypergeometric splitting tree: at each node a uniformly random half
@@ -213,16 +214,19 @@ def _fit_cell(at: DataFrame, cells: DataFrame) -> DataFrame:
         .groupBy("rank", "cell_left")
         .agg(F.array_sort(F.collect_list(F.struct((-F.col("size")).alias("neg"), "h"))).alias("rows"))
     )
-    taken = F.aggregate(
+    fitting = F.aggregate(
         "rows",
         F.struct(F.col("cell_left").alias("left"), F.array().cast("array<bigint>").alias("hs")),
         lambda s, x: F.when(
             -x["neg"] <= s["left"],
             F.struct((s["left"] + x["neg"]).alias("left"), F.concat(s["hs"], F.array(x["h"])).alias("hs")),
         ).otherwise(s),
-        lambda s: s["hs"],
     )
-    return inside.select(F.col("rank").alias("frank"), F.explode(taken).alias("fh"))
+    # The smallest document left over is taken too if that ends nearer to the target.
+    over = F.element_at(F.filter("rows", lambda x: (x["neg"] < 0) & ~F.array_contains("f.hs", x["h"])), -1)
+    nearer = -over["neg"] < 2 * F.col("f.left")
+    taken = F.when(nearer, F.concat("f.hs", F.array(over["h"]))).otherwise(F.col("f.hs"))
+    return inside.withColumn("f", fitting).select(F.col("rank").alias("frank"), F.explode(taken).alias("fh"))
 
 
 def taken_words(

@@ -19,6 +19,7 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
@@ -26,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from lexiloom.llm.store import empty_if_null, map_arrow, slices, stored
-from lexiloom.llm.words import encoder
+from lexiloom.llm.words import TEXT_BYTES, WordEncoder
 
 WINDOW = 2048
 
@@ -64,16 +65,18 @@ def pieces(
     rows = docs.select(F.col(id_col).alias("id"), empty_if_null(F.col(text_col)).alias("text"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, part, seen = encoder(tokenizer), TaskContext.get().partitionId(), {}
-        for batch in slices(batches, "text"):
-            out = []
-            for doc, ids in zip(batch.column("id").to_pylist(), words.encode(batch.column("text").to_pylist())):
-                n, view = len(ids) // 4, memoryview(ids)
+        words, part, seen = WordEncoder(tokenizer), TaskContext.get().partitionId(), {}
+        for batch in slices(batches, "text", TEXT_BYTES):
+            ids, ends = words.encode(batch.column("text"))
+            view, base, out = memoryview(ids.astype("<u4").view(np.uint8)), 0, []
+            for doc, end in zip(batch.column("id").to_pylist(), ends.tolist()):
+                n = end - base
                 for start, length in binary_pieces(n, window):
-                    own = view[4 * start : 4 * (start + length)]
+                    own = view[4 * (base + start) : 4 * (base + start + length)]
                     nth = seen.get(length, 0)
                     seen[length] = nth + 1
                     out.append((doc, start, length, zlib.crc32(own), n, part, nth, *([bytes(own)] if with_ids else [])))
+                base = end
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names)
 
     id_type = rows.schema["id"].dataType

@@ -68,7 +68,12 @@ def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[p
     """``mapInArrow`` with this package shipped to the Python workers, so that their
     module-level caches outlive a task."""
     _ship(df.sparkSession)
-    return df.mapInArrow(fn, schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from fn(batches)
+        pa.default_memory_pool().release_unused()  # workers are kept for later tasks
+
+    return df.mapInArrow(run, schema)
 
 
 _shipped: set[str] = set()

@@ -39,12 +39,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from lexiloom.llm.store import empty_if_null, map_arrow, partitions, slices
-from lexiloom.llm.words import encoder
+from lexiloom.llm.words import TEXT_BYTES, WordEncoder
 
 COUNTS = np.array([1, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1])  # ids in a word, by selector
 ESCAPE = 0
 RUN = 4096
-BLOCK_IDS = 1 << 17
+BLOCK_IDS = 1 << 17  # a block is closed at the first slice of texts that fills it
 
 
 def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -116,24 +116,25 @@ def write(
     arrow = to_arrow_type(rows.schema["id"].dataType)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, part = encoder(tokenizer), TaskContext.get().partitionId()
-        first = nth = held = 0
-        ids, coded = [], []
+        words, part = WordEncoder(tokenizer), TaskContext.get().partitionId()
+        first = nth = held = 0  # ids before the open block, its number, and ids in it
+        docs, lengths, coded = [], [], []
 
         def block():
-            lengths = np.array([len(c) // 4 for c in coded], "<i8")
-            packed, starts, escapes = pack(np.frombuffer(b"".join(coded), "<u4"))
-            row = [part, nth, first, held, ids, lengths.tobytes(), packed.astype("<u8").tobytes(), starts.astype("<u4").tobytes(), escapes.astype("<u8").tobytes()]
+            packed, starts, escapes = pack(np.concatenate(coded))
+            sizes = np.concatenate(lengths)
+            row = [part, nth, first, held, docs, sizes.astype("<i8").tobytes(), packed.astype("<u8").tobytes(), starts.astype("<u4").tobytes(), escapes.astype("<u8").tobytes()]
             return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, types)], names)
 
-        for batch in slices(batches, "text"):
-            for doc, c in zip(batch.column("id").to_pylist(), words.encode(batch.column("text").to_pylist())):
-                ids.append(doc)
-                coded.append(c)
-                held += len(c) // 4
-                if held >= BLOCK_IDS:
-                    yield block()
-                    first, nth, held, ids, coded = first + held, nth + 1, 0, [], []
+        for batch in slices(batches, "text", TEXT_BYTES):
+            ids, ends = words.encode(batch.column("text"))
+            docs += batch.column("id").to_pylist()
+            lengths.append(np.diff(ends, prepend=0))
+            coded.append(ids)
+            held += len(ids)
+            if held >= BLOCK_IDS:
+                yield block()
+                first, nth, held, docs, lengths, coded = first + held, nth + 1, 0, [], [], []
         if coded:
             yield block()
 

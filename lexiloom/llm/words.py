@@ -8,10 +8,17 @@ meets often only once. ``tests/llm`` compares this with encoding whole texts.
 
 from __future__ import annotations
 
+import os
+from array import array
 from functools import lru_cache
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
 END_ID = 1
-CACHED_WORDS = 400_000  # bound of the words remembered by a Python worker
+CACHED_WORDS = 400_000  # bound of the words a task remembers
+TEXT_BYTES = 4 << 20  # text encoded at once, in which each different word is looked up once
 CACHED_BYTES = 48  # longer words are encoded every time
 
 
@@ -21,35 +28,86 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-@lru_cache(maxsize=2)
-def encoder(path: str) -> WordEncoder:
-    """One encoder for each Python worker: its cache outlives a task."""
-    return WordEncoder(path)
+@lru_cache(maxsize=1)
+def _tokenizer(path: str):
+    """The tokenizer of a Python worker; it is kept for later tasks."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the cores belong to Spark's tasks
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(path)
 
 
 class WordEncoder:
-    def __init__(self, path: str):
-        import os
+    """Encodes the texts of one task; the words it remembers are freed with it."""
 
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the cores belong to Spark's tasks
-        from tokenizers import Tokenizer
+    def __init__(self, path: str):
+        self.tokenizer = _tokenizer(path)
+        # words of the running half and of the half before: a word met in both stays
+        self.known: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[bytes, bytes] = {}
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, ends): the ids of all texts, each followed by the end id, and where
+        each text ends in them. ``texts`` has no nulls."""
+        split = pc.ascii_split_whitespace(texts.cast(pa.large_string()))
+        flat = pc.list_flatten(split).dictionary_encode()
+        coded = self._words(flat.dictionary.to_pylist())
+        coded.append(END_ID.to_bytes(4, "little"))  # the end id is one more word of every text
+        offsets = np.cumsum(np.fromiter(map(len, coded), np.int64, len(coded)) // 4)
+        pool = pa.array(np.frombuffer(b"".join(coded), np.uint32))
+        lists = pa.ListArray.from_arrays(pa.array(np.append(0, offsets).astype(np.int32)), pool)
+        word_ends = np.cumsum(pc.list_value_length(split).to_numpy(zero_copy_only=False))
+        index = np.insert(flat.indices.to_numpy(zero_copy_only=False), word_ends, len(coded) - 1)
+        taken = lists.take(pa.array(index))
+        ends = taken.offsets.to_numpy()[word_ends + np.arange(1, len(word_ends) + 1)] - taken.offsets[0].as_py()
+        return taken.flatten().to_numpy(), ends.astype(np.int64)
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Little-endian unsigned 32-bit ids of each text, followed by the end id."""
-        split = [t.encode().split() for t in texts]  # bytes split at ASCII white space only
-        known, extra = self.known, {}
-        missing = list({w for words in split for w in words if w not in known})
+    def _words(self, words: list[str]) -> list[bytes]:
+        """Little-endian unsigned 32-bit ids of each word."""
+        coded = list(map(self.known.get, words))
+        missing = [i for i, c in enumerate(coded) if c is None]
         if missing:
-            if len(known) + len(missing) > CACHED_WORDS:
-                known.clear()
-                missing = list({w for words in split for w in words})
-            coded = self.tokenizer.encode_batch_fast([w.decode() for w in missing], add_special_tokens=False)
-            for word, e in zip(missing, coded):
-                (known if len(word) <= CACHED_BYTES else extra)[word] = b"".join([i.to_bytes(4, "little") for i in e.ids])
-        end = END_ID.to_bytes(4, "little")
-        if extra:
-            known = {**extra, **{w: known[w] for words in split for w in words if w in known}}
-        return [b"".join([known[w] for w in words]) + end for words in split]
+            found = list(map(self.before.get, [words[i] for i in missing]))
+            unknown = [words[i] for i, c in zip(missing, found) if c is None]
+            new = self._encode(unknown) if unknown else {}
+            for i, c in zip(missing, found):
+                word = words[i]
+                coded[i] = c = new[word] if c is None else c
+                if len(word) <= CACHED_BYTES:
+                    self._remember(word, c)
+        return coded
+
+    def _encode(self, words: list[str]) -> dict[str, bytes]:
+        """Ids of words, each lower-case form before a comma or stop encoded once.
+
+        The tokenizer lowers letters one by one, and splits between a letter or
+        digit and a comma or stop.
+        """
+        parts = {}
+        for word in words:
+            stem, tail = word, ""
+            if word.isascii() and "<" not in word:  # else it may hold a special token
+                stem = word.lower()
+                if len(word) > 1 and word[-1] in ",." and word[-2].isalnum():
+                    stem, tail = stem[:-1], word[-1]
+            parts[word] = stem, tail
+        coded, rest, bpe = {}, [], self.tokenizer.model.tokenize
+        for stem in {s for s, _ in parts.values()} | {t for _, t in parts.values() if t}:
+            known = self.known.get(stem) or self.before.get(stem)
+            if known is not None:
+                coded[stem] = known
+            elif stem.isascii() and stem.isalpha() and stem.islower():
+                # nothing to normalise or split: only the merges are left to do
+                coded[stem] = array("I", [t.id for t in bpe(stem)]).tobytes()
+            else:
+                rest.append(stem)
+        for begin in range(0, len(rest), 4096):
+            some = rest[begin : begin + 4096]
+            for s, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
+                coded[s] = array("I", e.ids).tobytes()
+        return {w: coded[s] + coded[t] if t else coded[s] for w, (s, t) in parts.items()}
+
+    def _remember(self, word: str, ids: bytes) -> None:
+        if len(self.known) >= CACHED_WORDS // 2:
+            self.known, self.before = {}, self.known
+        self.known[word] = ids
