@@ -17,11 +17,11 @@ ORDERS = 4
 def filter_bitext(
     df: DataFrame,
     max_len: int = 50,
-    limit: int | None = 50000,
+    limit: int | None = None,
     predicate: Callable[[DataFrame], Column] | None = None,
 ) -> DataFrame:
-    """Pairs (pair_id, src, tgt) of the first ``limit`` lines whose sides both
-    have at most ``max_len`` tokens, and that pass ``predicate``."""
+    """Pairs (pair_id, src, tgt) whose sides both have at most ``max_len``
+    tokens, and that pass ``predicate``; of the first ``limit`` lines if one is given."""
     missing = {"pair_id", "src", "tgt"} - set(df.columns)
     if missing:
         raise ValueError(f"columns not found in the input: {sorted(missing)}")

@@ -13,7 +13,7 @@ from lexiloom.operators.skew import lookup_join
 def _weighted(rows: DataFrame, weights: DataFrame) -> DataFrame:
     """Rows of known models with their weight. The weight table has one row per
     model; it is broadcast once its size is checked, since a few models hold all rows."""
-    return lookup_join(rows, weights.select("model", "weight"), ["model"], "inner", rows.columns)
+    return lookup_join(rows, weights.select("model", "weight"), ["model"], "inner", spread=[c for c in rows.columns if c != "model"])
 
 
 def unknown_models(rows: DataFrame, weights: DataFrame) -> DataFrame:

@@ -48,8 +48,11 @@ def running_totals(
         .orderBy(*order)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
+    # Every row is in a block, so the block number joins; keys may be null.
+    offsets = offsets.withColumnsRenamed({k: f"__r_{k}" for k in [*keys, "__block"]})
+    same = [F.col(f"`{k}`").eqNullSafe(F.col(f"`__r_{k}`")) for k in [*keys, "__block"]]
     zero = {t: F.lit(0).cast(laid.schema[f"__v_{t}"].dataType) for t in names}
-    return laid.join(offsets, keys + ["__block"]).select(
+    return laid.join(offsets, same).select(
         *df.columns,
         *[
             (F.coalesce(F.col(f"__o_{t}"), zero[t]) + F.sum(f"__v_{t}").over(inside)).alias(t)

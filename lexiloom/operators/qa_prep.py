@@ -95,7 +95,7 @@ def unrecoverable_count(df: DataFrame, with_impossible: bool = False) -> DataFra
 
 
 def augment_with_synonyms(
-    df: DataFrame, synonyms: DataFrame, word: str, out: str, rank: int = 2, spread: Sequence[str] = ()
+    df: DataFrame, synonyms: DataFrame, word: str, out: str, rank: int = 2, *, spread: Sequence[str]
 ) -> DataFrame:
     """Add ``out``: the synonym of ``word`` at a rank, or the word itself.
 
@@ -106,17 +106,20 @@ def augment_with_synonyms(
     return joined.withColumn(out, F.coalesce("__syn", word)).drop("__syn")
 
 
-def augment_answers(examples: DataFrame, synonyms: DataFrame, n: int, order: Sequence[str] = ("qid",)) -> DataFrame:
+def augment_answers(
+    examples: DataFrame, synonyms: DataFrame, share: float = 0.7, order: Sequence[str] = ("qid",)
+) -> DataFrame:
     """Every row, plus a copy (``copy`` = 1) of every answerable row. In the first
-    ``n`` copies the first word of the answer span is replaced by a synonym."""
+    ``share`` of the copies the first word of the answer span is replaced by a synonym."""
     answerable = examples.where(~F.col("is_impossible"))
     numbered = positions(answerable, [], list(order), "__at")
+    total = answerable.agg(F.count(F.lit(1))).scalar()
     first = F.get(F.col("doc_tokens"), F.col("start_position"))
     rest = span_of(F.col("doc_tokens"), F.col("start_position") + 1, F.col("end_position"))
     swapped = augment_with_synonyms(numbered.withColumn("__w", first), synonyms, "__w", "__new", spread=list(order))
     text = F.array_join(F.concat(F.array("__new"), rest), " ")
     copies = swapped.withColumn(
-        "orig_answer_text", F.when(F.col("__at") < n, text).otherwise(F.col("orig_answer_text"))
+        "orig_answer_text", F.when(F.col("__at") < share * total, text).otherwise(F.col("orig_answer_text"))
     ).select(*examples.columns, F.lit(1).alias("copy"))
     return examples.withColumn("copy", F.lit(0)).unionByName(copies)
 
@@ -210,14 +213,27 @@ def tighten_answer_span(sub_tokens: Column, start: Column, end: Column, answer_t
     )
 
 
+def query_tokens(pieces: Column, max_query_length: int = 64) -> Column:
+    """The question of a feature: its first ``max_query_length`` word pieces."""
+    return F.slice(pieces, 1, max_query_length)
+
+
 def doc_windows(
-    df: DataFrame, n_tokens: Column, query_len: Column, max_len: int = 384, stride: int = 128
+    df: DataFrame,
+    n_tokens: Column,
+    query_len: Column,
+    max_len: int = 384,
+    stride: int = 128,
+    cuts: Mapping[str, Callable[[Column, Column], Column]] | None = None,
+    leave: Sequence[str] = (),
 ) -> DataFrame:
     """One row per window of each document: adds (window, start, length) and the
     layout (room, step, n_windows, n_tokens, tail_from) that ``max_context`` needs.
 
     A window holds at most ``max_len`` - query - 3 tokens, and the last one ends
-    with the document.
+    with the document. ``cuts`` computes columns of the window from its start and
+    length in the row of the document, so that a window never carries a whole
+    document; arrays they are cut from and columns ``leave`` stay behind.
     """
     room = F.lit(max_len) - query_len - 3
     checked = F.when(room > 0, room).otherwise(F.raise_error(F.lit("no room for the document")).cast("int"))
@@ -227,14 +243,34 @@ def doc_windows(
     laid = compute_once(
         sized, sized.columns, step.alias("step"), F.when(F.col("n_tokens") > 0, 1 + more).cast("int").alias("n_windows")
     )
-    each = laid.withColumn("tail_from", _tail_from()).withColumn(
-        "window", F.explode(F.sequence(F.lit(0), F.col("n_windows") - 1))
-    )
-    start = F.col("window") * F.col("step")
-    return each.withColumn("start", start).withColumn(
-        "length", F.least(F.col("room"), F.col("n_tokens") - start)
+    laid = laid.withColumn("tail_from", _tail_from())
+    numbers = F.when(F.col("n_windows") > 0, F.sequence(F.lit(0), F.col("n_windows") - 1)).otherwise(
+        F.array().cast("array<int>")
     )
 
+    def window(w: Column) -> Column:
+        start = w * F.col("step")
+        length = F.least(F.col("room"), F.col("n_tokens") - start)
+        cut = [make(start, length).alias(c) for c, make in (cuts or {}).items()]
+        return F.struct(w.alias("window"), start.alias("start"), length.alias("length"), *cut)
+
+    kept = [c for c in laid.columns if c not in (*(cuts or {}), *leave)]
+    return laid.select(*kept, F.inline(F.transform(numbers, window)))
+
+
+def feature_cuts(ids: bool = False) -> dict[str, Callable[[Column, Column], Column]]:
+    """The ``cuts`` that ``assemble_features`` needs, of (sub_tokens, tok_to_orig,
+    doc_tokens) and, with ``ids``, sub_ids. Leave ``doc_tokens`` behind."""
+
+    def sliced(name: str) -> Callable[[Column, Column], Column]:
+        return lambda start, length: F.slice(F.col(name), start + 1, length)
+
+    def source_words(start: Column, length: Column) -> Column:
+        return span_of(F.col("doc_tokens"), F.get("tok_to_orig", start), F.get("tok_to_orig", start + length - 1))
+
+    names = ["sub_tokens", "tok_to_orig", *(["sub_ids"] if ids else [])]
+    return {**{c: sliced(c) for c in names}, "orig_tokens": source_words}
+
 
 def best_window(p: Column, layout: Callable[[str], Column] = F.col) -> Column:
     """The window in which token ``p`` has the most context.
@@ -312,12 +348,12 @@ def assemble_features(
     """Lay out a window for a reader model: ``[CLS] query [SEP] passage [SEP]``,
     or the passage first and ``[CLS]`` at the end.
 
-    Takes ``max_context`` rows with (query_tokens, sub_tokens, tok_to_orig,
-    doc_tokens). ``token_to_orig`` and ``is_max_context`` are aligned to
+    Takes ``max_context`` rows with query_tokens and the columns of
+    ``feature_cuts``, all cut to the window. ``token_to_orig`` and ``is_max_context`` are aligned to
     ``tokens`` and null outside the passage. With ``ids`` = (cls, sep, pad) and
     the columns (query_ids, sub_ids), ``input_ids`` is added.
     """
-    start, length = F.col("start"), F.col("length")
+    length = F.col("length")
     q = F.size("query_tokens")
     zero, one = F.lit(0), F.lit(1)
     b = 0 if sequence_a_is_doc else 1
@@ -332,12 +368,10 @@ def assemble_features(
         )
 
     none_int, none_flag = F.lit(None).cast("int"), F.lit(None).cast("boolean")
-    cut = lambda arr: F.slice(arr, start + 1, length)
     n = q + length + 3
     pad = F.lit(max_len) - n
     on, off = (1, 0) if mask_padding_with_zero else (0, 1)
     offset = (0 if cls_token_at_end else 1) + (zero if sequence_a_is_doc else q + 1)
-    first, last = F.get("tok_to_orig", start), F.get("tok_to_orig", start + length - 1)
     cls_seg = F.lit(cls_token_segment_id)
     out = (
         df.withColumn(
@@ -346,7 +380,7 @@ def assemble_features(
                 F.array(F.lit(cls_token)),
                 F.col("query_tokens"),
                 F.array(F.lit(sep_token)),
-                cut(F.col("sub_tokens")),
+                F.col("sub_tokens"),
                 F.array(F.lit(sep_token)),
             ),
         )
@@ -356,7 +390,7 @@ def assemble_features(
                 F.array(none_int),
                 F.array_repeat(none_int, q),
                 F.array(none_int),
-                cut(F.col("tok_to_orig")),
+                F.col("tok_to_orig"),
                 F.array(none_int),
             ),
         )
@@ -381,8 +415,7 @@ def assemble_features(
         .withColumn("p_mask", F.concat(cells(zero, one, one, zero, one), F.array_repeat(one, pad)))
         .withColumn("cls_index", n - 1 if cls_token_at_end else zero)
         .withColumn("passage_offset", offset)
-        .withColumn("orig_first", first)
-        .withColumn("orig_tokens", span_of(F.col("doc_tokens"), first, last))
+        .withColumn("orig_first", F.get("tok_to_orig", 0))
     )
     if ids is None:
         return out
@@ -390,7 +423,7 @@ def assemble_features(
     return out.withColumn(
         "input_ids",
         F.concat(
-            lay(F.array(cls_id), F.col("query_ids"), F.array(sep_id), cut(F.col("sub_ids")), F.array(sep_id)),
+            lay(F.array(cls_id), F.col("query_ids"), F.array(sep_id), F.col("sub_ids"), F.array(sep_id)),
             F.array_repeat(pad_id, pad),
         ),
     )
@@ -415,7 +448,7 @@ def encode_arrays(df: DataFrame, key: str, columns: Mapping[str, str], vocab: Da
 
     stacked = F.concat(*[tagged(n) for n in range(len(names))])
     each = df.select(key, F.inline(stacked))
-    coded = lookup_join(each, vocab.select("term", "ix"), ["term"], "left", [key, "col", "pos"])
+    coded = lookup_join(each, vocab.select("term", "ix"), ["term"], "left", spread=[key, "col", "pos"])
     index = F.coalesce("ix", F.lit(unk).cast("bigint"))
     back = coded.groupBy(key).agg(
         *[

@@ -194,21 +194,22 @@ def nbest_spans(
 
 
 def softmax_within(
-    df: DataFrame, key: Sequence[str], score: str, out: str = "probability", spread: Sequence[str] = ()
+    df: DataFrame, key: Sequence[str], score: str, out: str = "probability", *, spread: Sequence[str]
 ) -> DataFrame:
     """Add the softmax of ``score`` over the rows of a key, shifted by the maximum.
 
     Groups of any size: maximum and sum are aggregates, joined back with hot
-    keys dealt over several tasks.
+    keys dealt over several tasks by ``spread``. Rows with a null key form a
+    group like any other.
     """
     keys = list(key)
     hot = hot_keys(df.select(*keys), keys)
+    how = {"spread": spread, "hot": hot, "null_safe": True}
     peak = df.groupBy(*keys).agg(F.max(score).alias("__m"))
-    shifted = spread_join(df, peak, keys, "inner", spread, hot=hot).withColumn("__w", F.exp(F.col(score) - F.col("__m")))
-    total = shifted.groupBy(*keys).agg(F.sum("__w").alias("__t"))
-    both = peak.join(total, keys)
+    shifted = spread_join(df, peak, keys, **how).withColumn("__w", F.exp(F.col(score) - F.col("__m")))
+    total = shifted.groupBy(*keys).agg(F.max("__m").alias("__m"), F.sum("__w").alias("__t"))
     return (
-        spread_join(df, both, keys, "inner", spread, hot=hot)
+        spread_join(df, total, keys, **how)
         .withColumn(out, F.exp(F.col(score) - F.col("__m")) / F.col("__t"))
         .drop("__m", "__t")
     )

@@ -77,7 +77,9 @@ def chunk_spans(df: DataFrame, tag: str = "tag", seq: str = "seq", pos: str = "p
         .agg(F.max("start").alias("__last"))
         .select(seq, "__slab", F.max("__last").over(earlier).alias("__from"))
     )
-    joined = pieces.join(carried, [seq, "__slab"]).withColumn("start", F.coalesce("start", "__from"))
+    carried = carried.select(F.col(seq).alias("__seq"), F.col("__slab").alias("__at"), "__from")
+    same = F.col(seq).eqNullSafe(F.col("__seq")) & (F.col("__slab") == F.col("__at"))
+    joined = pieces.join(carried, same).withColumn("start", F.coalesce("start", "__from"))
     return joined.groupBy(seq, "start").agg(F.max("end").alias("end"), F.max("type").alias("type"))
 
 
@@ -132,7 +134,7 @@ def argmax_index(scores: Column) -> Column:
     return F.array_position(scores, F.array_max(scores)) - 1
 
 
-def argmax_label(df: DataFrame, labels: DataFrame, scores: str = "scores", spread: Sequence[str] = ()) -> DataFrame:
+def argmax_label(df: DataFrame, labels: DataFrame, scores: str = "scores", *, spread: Sequence[str]) -> DataFrame:
     """Add the label (ix, label) of the largest score."""
     best = df.withColumn("ix", argmax_index(F.col(scores)))
-    return lookup_join(best, labels.select("ix", "label"), ["ix"], "left", spread)
+    return lookup_join(best, labels.select("ix", "label"), ["ix"], "left", spread=spread)

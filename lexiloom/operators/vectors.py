@@ -34,18 +34,29 @@ def _block_top(k: int, exclude_self: bool):
     def run(queries: pd.DataFrame, table: pd.DataFrame) -> pd.DataFrame:
         out: list[pd.DataFrame] = []
         if len(queries) and len(table):
-            unit_table = _rows(table["tvec"])
-            names = table["tword"].to_numpy()
+            # Names in order, so that a stable choice of the largest prefers the smaller name.
+            table = table.sort_values("tword", kind="stable")
+            names, unit_table = table["tword"].to_numpy(), _rows(table["tvec"])
             for lo in range(0, len(queries), QUERY_ROWS):
                 part = queries.iloc[lo : lo + QUERY_ROWS]
+                words = part["qword"].to_numpy()
                 sims = np.round(_rows(part["qvec"]) @ unit_table.T, DIGITS)
-                for word, row in zip(part["qword"].to_numpy(), sims):
-                    usable = np.flatnonzero(names != word) if exclude_self else np.arange(len(names))
-                    if len(usable) > k:
-                        floor = np.partition(row[usable], len(usable) - k)[len(usable) - k]
-                        usable = usable[row[usable] >= floor]
-                    best = usable[np.lexsort((names[usable], -row[usable]))][:k]
-                    out.append(pd.DataFrame({"word": word, "other": names[best], "sim": row[best]}))
+                if exclude_self:
+                    at = np.searchsorted(names, words)
+                    mine = np.flatnonzero((at < len(names)) & (names[np.minimum(at, len(names) - 1)] == words))
+                    sims[mine, at[mine]] = -np.inf
+                n = min(k, len(names))
+                if n < len(names):
+                    floor = np.partition(sims, len(names) - n, axis=1)[:, len(names) - n, None]
+                    row, col = np.nonzero((sims >= floor) & (sims > -np.inf))  # ties at the end are cut below
+                else:
+                    row, col = np.nonzero(sims > -np.inf)
+                order = np.lexsort((col, -sims[row, col], row))
+                row, col = row[order], col[order]
+                first = np.searchsorted(row, np.arange(len(words)))
+                best = np.arange(len(row)) - first[row] < k
+                row, col = row[best], col[best]
+                out.append(pd.DataFrame({"word": words[row], "other": names[col], "sim": sims[row, col]}))
         return pd.concat(out) if out else pd.DataFrame({"word": [], "other": [], "sim": []})
 
     return run

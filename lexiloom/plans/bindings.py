@@ -227,11 +227,12 @@ def synonyms(spark, sf) -> DataFrame:
     return words.select("word", F.posexplode(ranks).alias("rank", "synonym")).withColumn("rank", F.col("rank") + 1)
 
 
-# Pages as long/short answer rows: tokens 2 to 60 are the long answer, four
-# tokens from 10 on the short one; a page in four has none.
+# Pages as long/short answer rows: everything from the third token on is the long
+# answer, four tokens at a place that depends on the page the short one; a page in
+# four has none.
 NQ_SQL = f"""
-    SELECT page_id AS qid, toks, 2 AS ls, least(60, len(toks)) AS le,
-           10 + page_id % 5 AS ss, 14 + page_id % 5 AS se,
+    SELECT page_id AS qid, toks, 2 AS ls, len(toks) AS le,
+           10 + page_id * 37 % greatest(len(toks) - 14, 1) AS ss, 14 + page_id * 37 % greatest(len(toks) - 14, 1) AS se,
            (page_id % 4 <> 0 AND len(toks) >= 20) AS has_short
     FROM (SELECT page_id, {qa_tok('html')} AS toks FROM pages)
 """
@@ -240,7 +241,7 @@ NQ_SQL = f"""
 def nq_rows(spark, sf) -> DataFrame:
     """(example_id, question_text, document_text, annotations)."""
     p = text_table(spark, sf, "pages", "page_id").withColumn("n", F.size(T.qa_tokens(F.col("html"))))
-    at = (F.col("page_id") % 5).cast("int")
+    at = (F.col("page_id") * 37 % F.greatest(F.col("n") - 14, F.lit(1))).cast("int")
     short = F.struct((at + 10).alias("start_token"), (at + 14).alias("end_token"))
     has = (F.col("page_id") % 4 != 0) & (F.col("n") >= 20)
     return p.select(
@@ -249,7 +250,7 @@ def nq_rows(spark, sf) -> DataFrame:
         F.col("html").alias("document_text"),
         F.array(
             F.struct(
-                F.struct(F.lit(2).alias("start_token"), F.least(F.lit(60), F.col("n")).alias("end_token")).alias(
+                F.struct(F.lit(2).alias("start_token"), F.col("n").alias("end_token")).alias(
                     "long_answer"
                 ),
                 F.when(has, F.array(short))

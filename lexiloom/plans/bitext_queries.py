@@ -8,8 +8,10 @@ from lexiloom.functions import text as T
 from lexiloom.operators import bitext as B
 from lexiloom.operators import score as H
 from lexiloom.operators.ordered import positions
-from lexiloom.plans.registry import query, text_table
+from lexiloom.plans.bindings import EVENT_TAGS_SQL, gold_tag
+from lexiloom.plans.registry import query, table, text_table
 from lexiloom.plans.sqltext import tok
+from lexiloom.plans.tag_queries import span_sql
 
 # A user turn and the assistant turn after it.
 PAIRS = f"""
@@ -32,11 +34,11 @@ def pairs(spark, sf):
     "filter_bitext",
     f"""
     WITH {PAIRS} SELECT pair_id, CAST(len(src) AS BIGINT) AS src_len, CAST(len(tgt) AS BIGINT) AS tgt_len FROM bt
-    WHERE pair_id < 50000 AND len(src) <= 50 AND len(tgt) <= 50 AND len(src) > 2
+    WHERE len(src) <= 50 AND len(tgt) <= 50 AND len(src) > 2
     """,
 )
 def _filter(spark, sf):
-    out = B.filter_bitext(pairs(spark, sf), 50, 50000, lambda d: F.size(d["src"]) > 2)
+    out = B.filter_bitext(pairs(spark, sf), 50, predicate=lambda d: F.size(d["src"]) > 2)
     return out.select(
         "pair_id", F.size("src").cast("bigint").alias("src_len"), F.size("tgt").cast("bigint").alias("tgt_len")
     )
@@ -120,3 +122,90 @@ def _score(spark, sf):
     short = good.where(F.col("line_no") % 7 != 0).withColumn("run", F.lit("short"))
     names = spark.createDataFrame([("good",), ("short",), ("absent",)], "run string")
     return H.score_runs(gold, good.unionByName(short), names, "bleu").withColumn("score", F.round("score", 6))
+
+
+# Every eleventh line of the gold is blank; there the run has a word of its own.
+BLANK = "(conv_id * 100 + turn) % 11 = 0"
+SHORT_OR_ABSENT = """
+    UNION ALL SELECT 'short', testset, CASE WHEN EXISTS (SELECT 1 FROM conversations WHERE role = testset
+      AND (conv_id * 100 + turn) % 7 = 0) THEN 0.0::DOUBLE ELSE score END FROM sc
+    UNION ALL SELECT 'absent', testset, 0.0::DOUBLE FROM sc
+"""
+
+
+def scored_lines(spark, sf, gold_text, run_text, metric):
+    """Scores of three runs over lines with blanks: all of it, a shorter one, none."""
+    line = F.col("conv_id") * 100 + F.col("turn")
+    blank = line % 11 == 0
+    c = text_table(spark, sf, "conversations", "conv_id", "turn").select(
+        F.col("role").alias("testset"), line.alias("line_no"),
+        F.when(blank, F.lit(" ")).otherwise(gold_text).alias("g"), F.when(blank, F.lit("x")).otherwise(run_text).alias("p"),
+    )
+    gold = c.select("testset", "line_no", F.col("g").alias("text"))
+    good = c.select(F.lit("good").alias("run"), "testset", "line_no", F.col("p").alias("text"))
+    short = good.where(F.col("line_no") % 7 != 0).withColumn("run", F.lit("short"))
+    names = spark.createDataFrame([("good",), ("short",), ("absent",)], "run string")
+    return H.score_runs(gold, good.unionByName(short), names, metric).withColumn("score", F.round("score", 6))
+
+
+@query(
+    "score_runs_segmentation",
+    f"""
+    WITH ln AS (SELECT role AS testset, conv_id, turn, CASE WHEN {BLANK} THEN '' ELSE text END AS g,
+             CASE WHEN {BLANK} THEN 'x' ELSE replace(replace(text, ' the ', ' a '), ' la ', ' ') END AS p
+           FROM conversations),
+    tk AS (SELECT testset, conv_id, turn, unnest({tok('g')}) AS w, -1 AS d FROM ln
+           UNION ALL SELECT testset, conv_id, turn, unnest({tok('p')}), 1 FROM ln),
+    df AS (SELECT testset, conv_id, turn, w, sum(d) AS d FROM tk GROUP BY ALL),
+    sc AS (SELECT testset, round(2.0 * count(*) FILTER (WHERE d = 0) / (count(*) + count(*) FILTER (WHERE d = 0)), 6)
+             AS score FROM df GROUP BY testset)
+    SELECT 'good' AS run, testset, score FROM sc {SHORT_OR_ABSENT}
+    """,
+)
+def _score_segmentation(spark, sf):
+    changed = F.replace(F.replace("text", F.lit(" the "), F.lit(" a ")), F.lit(" la "), F.lit(" "))
+    return scored_lines(spark, sf, F.col("text"), changed, "segmentation")
+
+
+@query(
+    "score_runs_hits",
+    f"""
+    WITH ln AS (SELECT role AS testset, {tok('text')} AS w, {BLANK} AS blank FROM conversations),
+    hit AS (SELECT testset, CASE WHEN blank THEN false ELSE list_has_any(w[3:12], w[1:2]) END AS hit FROM ln),
+    sc AS (SELECT testset, round(100.0 * avg(CASE WHEN hit THEN 1.0 ELSE 0.0 END), 6) AS score FROM hit GROUP BY testset)
+    SELECT 'good' AS run, testset, score FROM sc {SHORT_OR_ABSENT}
+    """,
+)
+def _score_hits(spark, sf):
+    words = T.tokens(F.col("text"))
+    known = F.concat(F.lit("word.n\t"), F.array_join(F.slice(words, 1, 2), " "))
+    guessed = F.array_join(F.slice(words, F.lit(3), F.size(words)), " ")
+    return scored_lines(spark, sf, known, guessed, "hits")
+
+
+@query(
+    "score_runs_chunks",
+    f"""
+    WITH e0 AS ({EVENT_TAGS_SQL}),
+    ev AS MATERIALIZED (SELECT 0 AS seq, row_number() OVER (ORDER BY event_id) - 1 AS pos, gold, pred FROM e0),
+    g AS ({span_sql('gold')}), p AS ({span_sql('pred')}),
+    m AS (SELECT CASE WHEN g.seq IS NULL THEN 0 ELSE 1 END AS g, CASE WHEN p.seq IS NULL THEN 0 ELSE 1 END AS p
+          FROM g FULL JOIN p ON g.st = p.st AND g.en = p.en AND g.ty = p.ty)
+    SELECT 'good' AS run, 'events' AS testset, round(200.0 * sum(g * p) / (sum(g) + sum(p)), 6) AS score FROM m
+    UNION ALL SELECT 'absent', 'events', 0.0::DOUBLE
+    """,
+)
+def _score_chunks(spark, sf):
+    """One tag a line; a blank line after every thirteenth event ends a sequence and does not count."""
+    e = table(spark, sf, "events").select("event_id", gold_tag(F.col("event_type")).alias("gold"))
+    pred = F.when(F.col("event_id") % 5 == 0, "O").when(F.col("event_id") % 7 == 0, "E-C").otherwise(F.col("gold"))
+    blank = F.when(F.col("event_id") % 13 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    at = e.withColumn("pred", pred).withColumn("after", F.explode(blank))
+
+    def lines_of(column):
+        text = F.when(F.col("after") == 0, F.col(column)).otherwise(F.lit(""))
+        return at.select(F.lit("events").alias("testset"), (2 * F.col("event_id") + F.col("after")).alias("line_no"), text.alias("text"))
+
+    names = spark.createDataFrame([("good",), ("absent",)], "run string")
+    runs = lines_of("pred").withColumn("run", F.lit("good"))
+    return H.score_runs(lines_of("gold"), runs, names, "chunks").withColumn("score", F.round("score", 6))

@@ -101,14 +101,14 @@ def _synonyms(spark, sf):
     o AS (SELECT *, row_number() OVER (ORDER BY qid) - 1 AS rk FROM ex WHERE ok AND NOT is_impossible)
     SELECT qid, 0 AS copy, coalesce(answer, '') AS orig_answer_text FROM ex WHERE ok
     UNION ALL
-    SELECT qid, 1 AS copy, CASE WHEN rk < 500 THEN array_to_string(list_prepend(coalesce(synonym, toks[s + 1]),
+    SELECT qid, 1 AS copy, CASE WHEN rk < 0.7 * (SELECT count(*) FROM o) THEN array_to_string(list_prepend(coalesce(synonym, toks[s + 1]),
            toks[s + 2:e + 1]), ' ') ELSE answer END AS orig_answer_text
     FROM o LEFT JOIN syn ON syn.word = toks[s + 1]
     """,
 )
 def _augment(spark, sf):
     ex = Q.squad_examples(squad_rows(spark, sf), True, True)
-    return Q.augment_answers(ex, synonyms(spark, sf), 500).select("qid", "copy", "orig_answer_text")
+    return Q.augment_answers(ex, synonyms(spark, sf)).select("qid", "copy", "orig_answer_text")
 
 
 @query("with_short_answer", f"SELECT qid AS example_id FROM ({NQ_SQL}) WHERE has_short")
@@ -284,7 +284,7 @@ FEATURES = f"""
     {TIGHT},
     fx AS (SELECT sub.qid, st, t2o, is_impossible AS imp, coalesce(ts, -1) AS ts, coalesce(te, -1) AS te,
              flatten(list_transform({tok('question')}, lambda t: CASE WHEN length(t) > 4
-               THEN [substr(t, 1, 4), '##' || substr(t, 5)] ELSE [t] END))[1:12] AS qt
+               THEN [substr(t, 1, 4), '##' || substr(t, 5)] ELSE [t] END))[1:64] AS qt
            FROM sub LEFT JOIN tight USING (qid) WHERE ok),
     fr AS (SELECT *, len(st) AS n, 384 - len(qt) - 3 AS room FROM fx WHERE len(st) > 0),
     fw AS (SELECT *, unnest(range(0, 1 + CAST(greatest(0, ceil((n - room) / 128.0)) AS BIGINT))) AS w FROM fr),
@@ -294,10 +294,10 @@ FEATURES = f"""
 
 def features(spark, sf, **layout):
     ex = example_subtokens(spark, sf)
-    asked = ex.withColumn(
-        "query_tokens", F.slice(F.flatten(F.transform(T.tokens(F.col("question")), pieces)), 1, 12)
+    asked = ex.withColumn("query_tokens", Q.query_tokens(F.flatten(F.transform(T.tokens(F.col("question")), pieces))))
+    windows = Q.doc_windows(
+        asked, F.size("sub_tokens"), F.size("query_tokens"), cuts=Q.feature_cuts(), leave=["doc_tokens"]
     )
-    windows = Q.doc_windows(asked, F.size("sub_tokens"), F.size("query_tokens"))
     return Q.window_answer_span(Q.assemble_features(Q.max_context(windows), **layout))
 
 
@@ -384,7 +384,7 @@ def _answer_span(spark, sf):
     WITH {FEATURES},
     c AS (SELECT term, row_number() OVER (ORDER BY count(*) DESC, term) + 3 AS ix
           FROM (SELECT unnest(st) AS term FROM sub WHERE ok) GROUP BY term),
-    v AS (SELECT * FROM c WHERE ix < 5004),
+    v AS (SELECT * FROM c),
     t AS (SELECT qid, unnest(st) AS term, generate_subscripts(st, 1) - 1 AS pos FROM fx),
     d AS (SELECT qid, pos, coalesce(ix, 0) AS ix FROM t LEFT JOIN v USING (term)),
     qd AS (SELECT qid, sum(coalesce(ix, 0)) AS qs FROM (SELECT qid, unnest(qt) AS term FROM fx) LEFT JOIN v USING (term)
@@ -398,13 +398,15 @@ def _answer_span(spark, sf):
 def _encode(spark, sf):
     ex = example_subtokens(spark, sf)
     terms = ex.select(F.explode(entries(F.col("sub_tokens"))).alias("term"))
-    vocab = N.frequency_vocab(terms, 5000, ("<unk>", "<pad>", "[CLS]", "[SEP]"))
-    asked = ex.withColumn(
-        "query_tokens", F.slice(F.flatten(F.transform(T.tokens(F.col("question")), pieces)), 1, 12)
-    )
+    vocab = N.frequency_vocab(terms, None, ("<unk>", "<pad>", "[CLS]", "[SEP]"))
+    asked = ex.withColumn("query_tokens", Q.query_tokens(F.flatten(F.transform(T.tokens(F.col("question")), pieces))))
     columns = {"sub_tokens": "sub_ids", "query_tokens": "query_ids"}
     coded = Q.encode_arrays(asked, "qid", columns, cut_lineage(vocab), 0)
-    windows = Q.max_context(Q.doc_windows(coded, F.size("sub_tokens"), F.size("query_tokens")))
+    windows = Q.max_context(
+        Q.doc_windows(
+            coded, F.size("sub_tokens"), F.size("query_tokens"), cuts=Q.feature_cuts(ids=True), leave=["doc_tokens"]
+        )
+    )
     f = Q.assemble_features(windows, ids=(2, 3, 1))
     return f.select(
         "qid",

@@ -18,7 +18,7 @@ from lexiloom.plans.ngram_queries import TURN_STREAM
 from lexiloom.plans.registry import query, table, text_table
 from lexiloom.plans.sqltext import qa_tok
 from lexiloom.plans.vector_queries import EDGES, VEC, id_vectors, label_edges, sentences
-from lexiloom.session import shared_dir
+from lexiloom.session import cut_lineage, shared_dir
 from lexiloom.sources import conll, lines, qa_json, tables
 
 
@@ -246,6 +246,7 @@ def _nq(spark, sf):
     )
 
 
+MODELS = ("bert", "albert", "distilbert", "albertAug", "albertGoogle")
 MODEL_BEST = f"""
     nb AS ({NBEST_SQL}),
     rk AS (SELECT *, row_number() OVER (PARTITION BY qid, model ORDER BY event_id DESC) AS rank FROM nb)
@@ -256,7 +257,7 @@ MODEL_BEST = f"""
     "read_predictions",
     f"""
     WITH {MODEL_BEST} SELECT model, CAST(qid AS VARCHAR) AS qid, CAST(rank AS BIGINT) AS rank, text,
-      round(probability, 6) AS probability FROM rk WHERE rank <= 3
+      round(probability, 6) AS probability FROM rk
     """,
 )
 def _predictions(spark, sf):
@@ -266,11 +267,10 @@ def _predictions(spark, sf):
     none = F.lit(None).cast("double")
     top = (
         ranked.withColumn("rank", F.row_number().over(order))
-        .where(F.col("rank") <= 3)
         .withColumn("start_logit", none)
         .withColumn("end_logit", none)
     )
-    for model in ("bert", "albert", "distilbert", "albertAug", "albertGoogle"):
+    for model in MODELS:
         qa_json.write_predictions(top.where(F.col("model") == model), f"{path}/{model}_1.json")
     return qa_json.read_predictions(spark, path, lines=True).select(
         "model",
@@ -283,18 +283,17 @@ def _predictions(spark, sf):
 
 @query(
     "write_predictions",
-    f"WITH {MODEL_BEST} SELECT CAST(qid AS VARCHAR) AS qid, text FROM rk WHERE model = 'bert' AND rank = 1",
+    f"WITH {MODEL_BEST} SELECT model, CAST(qid AS VARCHAR) AS qid, text FROM rk WHERE rank = 1",
 )
 def _write_predictions(spark, sf):
     path = new_path(spark)
-    best = (
-        nbest_events(spark, sf)
-        .where(F.col("model") == "bert")
-        .groupBy("qid")
-        .agg(F.max_by("text", "event_id").alias("text"))
+    best = cut_lineage(
+        nbest_events(spark, sf).groupBy("model", "qid").agg(F.max_by("text", "event_id").alias("text"))
     )
-    qa_json.write_predictions(best, f"{path}/bert_1.json", "best", rows_per_object=50)
-    return qa_json.read_predictions(spark, path, "best", lines=True).select("qid", "text")
+    for model in MODELS:
+        own = best.where(F.col("model") == model).drop("model")
+        qa_json.write_predictions(own, f"{path}/{model}_1.json", "best", rows_per_object=50)
+    return qa_json.read_predictions(spark, path, "best", lines=True).select("model", "qid", "text")
 
 
 @query(
@@ -302,7 +301,7 @@ def _write_predictions(spark, sf):
     f"""
     WITH {PAIRS}
     SELECT CAST(pair_id AS BIGINT) AS pair_id, array_to_string(src, ' ') AS src, array_to_string(tgt, ' ') AS tgt
-    FROM bt WHERE pair_id < 50000
+    FROM bt
     """,
 )
 def _bitext(spark, sf):

@@ -275,10 +275,10 @@ def basic_sql(expr: str) -> str:
 @query(
     "project_to_source_text",
     f"""
-    WITH o AS (SELECT conv_id, turn, array_to_string(({qa_tok('text')})[1:30], ' ') AS orig FROM conversations),
+    WITH o AS (SELECT conv_id, turn, array_to_string({qa_tok('text')}, ' ') AS orig FROM conversations),
     t AS (SELECT *, {basic_sql('orig')} AS bt FROM o),
     p AS (SELECT *, array_to_string(bt, ' ') AS tk,
-            CASE WHEN turn % 5 = 4 THEN 'zz' ELSE array_to_string(bt[3:7], ' ') END AS pred FROM t),
+            CASE WHEN turn % 5 = 4 THEN 'zz' ELSE array_to_string(bt[1 + (conv_id * 31 + turn * 7) % greatest(len(bt), 1):][1:5], ' ') END AS pred FROM t),
     m AS (SELECT *, strpos(tk, pred) AS hit, list_filter(range(1, length(orig) + 1), lambda i: substr(orig, i, 1) <> ' ')
             AS places FROM p),
     x AS (SELECT *, length(replace(substr(tk, 1, hit - 1), ' ', '')) AS b, length(replace(pred, ' ', '')) AS k FROM m)
@@ -289,9 +289,11 @@ def basic_sql(expr: str) -> str:
 )
 def _project(spark, sf):
     c = text_table(spark, sf, "conversations", "conv_id", "turn")
-    orig = F.array_join(F.slice(T.qa_tokens(F.col("text")), 1, 30), " ")
+    orig = F.array_join(T.qa_tokens(F.col("text")), " ")
     o = c.select("conv_id", "turn", orig.alias("orig"))
-    cut = F.array_join(F.slice(T.basic_tokens(F.col("orig")), 3, 5), " ")
+    words = T.basic_tokens(F.col("orig"))
+    at = F.pmod(F.col("conv_id") * 31 + F.col("turn") * 7, F.greatest(F.size(words), F.lit(1))).cast("int")
+    cut = F.array_join(F.slice(words, at + 1, F.lit(5)), " ")
     p = o.withColumn("pred", F.when(F.col("turn") % 5 == 4, "zz").otherwise(cut))
     return p.select(
         "conv_id", "turn", "pred", T.project_to_source_text(F.col("pred"), F.col("orig")).alias("text")

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from lexiloom.operators import tags as C
 from lexiloom.plans.bindings import EVENT_TAGS_SQL, tagged_events
+from lexiloom.session import cut_lineage
 from lexiloom.plans.registry import query, table
 
 
@@ -123,8 +124,9 @@ def _accuracy(spark, sf):
 )
 def _argmax(spark, sf):
     e = table(spark, sf, "embeddings").select("vec_id", "embedding")
-    places = e.select(F.explode(F.sequence(F.lit(0), F.size("embedding") - 1)).alias("ix")).distinct()
+    widest = e.agg(F.max(F.size("embedding")).alias("n"))  # one row
+    places = cut_lineage(widest.select(F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("ix")))
     named = places.select(
         F.col("ix").cast("bigint").alias("ix"), F.concat(F.lit("tag"), (F.col("ix") % 7).cast("string")).alias("label")
     )
-    return C.argmax_label(e, named, "embedding", ["vec_id"]).drop("embedding")
+    return C.argmax_label(e, named, "embedding", spread=["vec_id"]).drop("embedding")

@@ -67,7 +67,7 @@ def read_lexsub_gold(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def read_bitext(spark: SparkSession, src: str, tgt: str, limit: int | None = 50000) -> DataFrame:
+def read_bitext(spark: SparkSession, src: str, tgt: str, limit: int | None = None) -> DataFrame:
     """Two line-aligned texts as (pair_id, src, tgt) token arrays, lower-cased.
 
     Blank lines before and after a text do not count; the longer text is cut.

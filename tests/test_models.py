@@ -108,9 +108,9 @@ def test_vocab_and_unknown_terms(spark):
     assert {r.term: r.ix for r in vocab.collect()} == {"b": 0, "a": 1, "c": 2}
     extra = spark.createDataFrame([("z",), ("a",)], "term string")
     with pytest.raises(Exception, match="not in the vocabulary"):
-        N.encode(extra, vocab).collect()
+        N.encode(extra, vocab, spread=[F.lit(0)]).collect()
     known = vocab.unionByName(spark.createDataFrame([("[UNK]", 3)], "term string, ix bigint"))
-    assert {r.term: r.ix for r in N.encode(extra, known, "[UNK]").collect()} == {"z": 3, "a": 1}
+    assert {r.term: r.ix for r in N.encode(extra, known, "[UNK]", spread=[F.lit(0)]).collect()} == {"z": 3, "a": 1}
 
 
 def test_hot_keys_are_split_and_nothing_is_lost(spark):

@@ -34,7 +34,7 @@ def test_augmented_copies(spark):
     rows = [(str(i), "q", "one two three", [("two three", 4)], False) for i in range(4)]
     ex = Q.squad_examples(spark.createDataFrame(rows, SQUAD), True)
     syn = spark.createDataFrame([("two", 1, "two"), ("two", 2, "pair")], "word string, rank int, synonym string")
-    got = [(r.qid, r["copy"], r.orig_answer_text) for r in Q.augment_answers(ex, syn, 2).collect()]
+    got = [(r.qid, r["copy"], r.orig_answer_text) for r in Q.augment_answers(ex, syn, 0.5).collect()]
     assert len(got) == 8
     assert sorted(t for _, c, t in got if c) == ["pair three", "pair three", "two three", "two three"]
 
@@ -90,7 +90,7 @@ def test_feature_layouts(spark):
         row,
         "id int, query_tokens array<string>, sub_tokens array<string>, tok_to_orig array<int>, doc_tokens array<string>",
     )
-    w = Q.max_context(Q.doc_windows(df, F.size("sub_tokens"), F.size("query_tokens"), 8, 2))
+    w = Q.max_context(Q.doc_windows(df, F.size("sub_tokens"), F.size("query_tokens"), 8, 2, Q.feature_cuts(), ["doc_tokens"]))
     first = {r.window: r for r in Q.assemble_features(w, 8).collect()}
     assert first[0].tokens == ["[CLS]", "q1", "q2", "[SEP]", "a", "b", "##c", "[SEP]"]
     assert first[0].segment_ids == [0, 0, 0, 0, 1, 1, 1, 1]
@@ -258,7 +258,7 @@ def test_null_at_threshold_fixture(spark):
 
 def test_softmax(spark):
     df = spark.createDataFrame([(1, 0.0), (1, 0.0), (2, 1000.0), (2, 0.0)], "k int, s double")
-    got = sorted(r.probability for r in D.softmax_within(df, ["k"], "s").collect())
+    got = sorted(r.probability for r in D.softmax_within(df, ["k"], "s", spread=["s"]).collect())
     assert got == [0.0, 0.5, 0.5, 1.0]
 
 

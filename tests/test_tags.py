@@ -58,5 +58,5 @@ def test_accuracy_and_argmax(spark):
     assert (r.n_tokens, r.accuracy, r.accuracy_inside) == (4, 50.0, 50.0)
     scores = spark.createDataFrame([(1, [0.1, 0.7, 0.7])], "id int, scores array<double>")
     labels = spark.createDataFrame([(0, "O"), (1, "B"), (2, "I")], "ix bigint, label string")
-    assert C.argmax_label(scores, labels).first()["label"] == "B"
+    assert C.argmax_label(scores, labels, spread=["id"]).first()["label"] == "B"
     assert scores.select(C.argmax_index(F.col("scores"))).first()[0] == 1

@@ -124,6 +124,11 @@ def test_bitext_filters(spark):
     assert {r.pair_id: r.bucket for r in B.length_buckets(df, 2).collect()} == {2: 0, 0: 0, 1: 1}
 
 
+def tags_with_blanks(spark):
+    rows = [("dev", 0, "B-X"), ("dev", 1, ""), ("dev", 2, "I-X")]
+    return spark.createDataFrame(rows, "testset string, line_no int, text string")
+
+
 def test_score_runs(spark):
     gold = spark.createDataFrame([("dev", 0, "a b"), ("dev", 1, ""), ("dev", 2, "c d")], "testset string, line_no int, text string")
     runs = spark.createDataFrame(
@@ -131,11 +136,19 @@ def test_score_runs(spark):
         "run string, testset string, line_no int, text string",
     )
     names = spark.createDataFrame([("r1",), ("r2",), ("r3",)], "run string")
-    got = {r.run: r.score for r in H.score_runs(gold, runs, names, "segmentation").collect()}
-    assert got == {"r1": 1.0, "r2": 0.0, "r3": 0.0}
+    # lines "a b", "", "c d" against "a b", "c d", "extra": tp 2, fp 3, fn 2
+    got = {r.run: round(r.score, 9) for r in H.score_runs(gold, runs, names, "segmentation").collect()}
+    assert got == {"r1": round(4 / 9, 9), "r2": 0.0, "r3": 0.0}
+    got = {r.run: r.score for r in H.score_runs(gold, runs, names, "segmentation", check_length=False).collect()}
+    assert got["r2"] == 1.0 and got["r3"] == 0.0
+    blank = runs.withColumn("text", F.when(F.col("line_no") == 1, "x").when(F.col("line_no") == 2, "c d").otherwise(F.col("text")))
+    got = {r.run: round(r.score, 9) for r in H.score_runs(gold, blank, names, "segmentation").collect()}
+    assert got["r1"] == round(8 / 9, 9)
+    spaced = tags_with_blanks(spark)
+    assert H.score_runs(spaced, spaced.where("text <> ''").withColumn("run", F.lit("r1")), names.limit(1), "chunks").first()["score"] == 100.0
     tags = spark.createDataFrame([("dev", 0, "B-X"), ("dev", 1, "O")], "testset string, line_no int, text string")
     preds = tags.select(F.lit("r1").alias("run"), "*")
     assert H.score_runs(tags, preds, names.limit(1), "chunks").first()["score"] == 100.0
     subs = spark.createDataFrame([("dev", 0, "side.n\tteam")], "testset string, line_no int, text string")
     guess = spark.createDataFrame([("r1", "dev", 0, "x team")], "run string, testset string, line_no int, text string")
-    assert H.score_runs(subs, guess, names.limit(1), "hits").first()["score"] == 1.0
+    assert H.score_runs(subs, guess, names.limit(1), "hits").first()["score"] == 100.0
