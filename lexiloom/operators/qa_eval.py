@@ -6,12 +6,15 @@ A question is one row (qid, answers array<string>), a prediction one row
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexiloom.functions.arrays import bag_overlap, bind, compute_once
 from lexiloom.functions.text import normalize_answer, tokens
 from lexiloom.operators.ordered import running_totals
+from lexiloom.session import cut_lineage
 
 DIGITS = 9  # running sums that agree to nine decimals count as ties
 
@@ -164,16 +167,13 @@ def best_threshold(scores: DataFrame, *names: str) -> DataFrame:
     return both.select(F.inline(F.array(*rows)))
 
 
-def average_precision(scores: DataFrame, *names: str) -> DataFrame:
-    """Average precision over the no-answer ranking, times 100, for each score
-    column (default ``score``): rows (metric, ap).
+def _ranking(scores: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Running sums over the no-answer ranking, one row per probability.
 
-    Rows of equal probability enter together. A tie group adds its precision
-    times its share of the true positives. All columns share one pass.
+    Rows of equal probability enter together. The group without a probability
+    takes no part in the ranking, only in the count of answers.
     """
-    names = names or ("score",)
     has, ranked = F.col("has_answer"), F.col("na_prob").isNotNull()
-    # The group without a probability takes no part in the ranking, only in the count.
     groups = scores.groupBy("na_prob").agg(
         F.count(F.lit(1)).alias("n"),
         F.count_if(has).alias("pos"),
@@ -184,11 +184,39 @@ def average_precision(scores: DataFrame, *names: str) -> DataFrame:
     )
     totals = {f"all_{m}": F.when(ranked, F.col(f"tp_{m}")).otherwise(0.0) for m in names}
     totals["all_n"] = F.when(ranked, F.col("n")).otherwise(0)
-    run = running_totals(groups, [], ["na_prob"], totals)
-    areas = run.agg(
+    return running_totals(groups, [], ["na_prob"], totals)
+
+
+def precision_recall_curve(scores: DataFrame, *names: str) -> DataFrame:
+    """Points of the curve, one for each no-answer probability and score column
+    (default ``score``): (metric, na_prob, precision, recall)."""
+    names = names or ("score",)
+    run = cut_lineage(_ranking(scores, names))
+    answers = run.agg(F.sum("pos")).scalar()
+    points = [
+        F.struct(
+            F.lit(m).alias("metric"),
+            "na_prob",
+            (F.col(f"all_{m}") / F.col("all_n")).alias("precision"),
+            (F.col(f"all_{m}") / F.col("answers")).alias("recall"),
+        )
+        for m in names
+    ]
+    return run.where(F.col("na_prob").isNotNull()).withColumn("answers", answers).select(F.inline(F.array(*points)))
+
+
+def average_precision(scores: DataFrame, *names: str) -> DataFrame:
+    """Average precision over the no-answer ranking, times 100, for each score
+    column (default ``score``): rows (metric, ap).
+
+    Rows of equal probability enter together. A tie group adds its precision
+    times its share of the true positives. All columns share one pass.
+    """
+    names = names or ("score",)
+    areas = _ranking(scores, names).agg(
         F.sum("pos").alias("pos"),
         *[
-            F.sum(F.when(ranked, F.col(f"all_{m}") / F.col("all_n") * F.col(f"tp_{m}"))).alias(m)
+            F.sum(F.when(F.col("na_prob").isNotNull(), F.col(f"all_{m}") / F.col("all_n") * F.col(f"tp_{m}"))).alias(m)
             for m in names
         ],
     )

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lexiloom.functions.text import split_tag
+from lexiloom.functions.text import noisy_token, split_tag
 from lexiloom.operators.ordered import positions
 from lexiloom.operators.skew import lookup_join
 
@@ -25,6 +25,23 @@ def flatten_sequences(df: DataFrame, seq: str = "seq", pos: str = "pos") -> Data
     return glued.drop(seq, pos).withColumn(seq, F.lit(0)).withColumnRenamed("__at", pos)
 
 
+def noise_tokens(df: DataFrame, seed: int, key: str = "seq", tokens: str = "tokens", drop_tail: bool = False) -> DataFrame:
+    """Add noise to the training sentences of a tagger: every token of three or more
+    letters is kept, loses an inner letter or has two inner letters swapped.
+
+    What happens follows from the integer ``key`` of the sentence, the place of the
+    token and ``seed``, so a run can be repeated and a lost task redone.
+    """
+    row = F.col(key).cast("bigint")
+
+    def one(token: Column, i: Column) -> Column:
+        action = F.pmod(row * 31 + i * 17 + seed, F.lit(3))
+        at = F.lit(1) + F.pmod(row * 13 + i * 29 + seed, F.greatest(F.length(token) - 2, F.lit(1)))
+        return noisy_token(token, action, at.cast("int"), drop_tail)
+
+    return df.withColumn(tokens, F.transform(tokens, one))
+
+
 def chunk_boundaries(
     df: DataFrame, tag: str = "tag", seq: str = "seq", pos: str = "pos", slab: int = SLAB
 ) -> DataFrame:

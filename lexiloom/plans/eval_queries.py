@@ -187,6 +187,26 @@ def _ap(spark, sf):
     return rounded(E.average_precision(scored, "exact", "f1", "oracle"), "ap")
 
 
+def curve_sql(source: str, score: str) -> str:
+    return f"""
+      SELECT '{score}' AS metric, na_prob, round(ctp / cn, 6) AS precision,
+             round(ctp / (SELECT count(CASE WHEN has_answer THEN 1 END) FROM {source}), 6) AS recall
+      FROM (SELECT na_prob, sum(tp) OVER w AS ctp, sum(n) OVER w AS cn FROM (
+        SELECT na_prob, CAST(count(*) AS DOUBLE) AS n,
+               sum(CASE WHEN has_answer THEN coalesce(CAST({score} AS DOUBLE), 0) ELSE 0 END) AS tp
+        FROM {source} WHERE na_prob IS NOT NULL GROUP BY na_prob) WINDOW w AS (ORDER BY na_prob ROWS UNBOUNDED PRECEDING))
+    """
+
+
+@query(
+    "precision_recall_curve",
+    f"WITH {V2}, u AS (SELECT * FROM t) {curve_sql('u', 'exact')} UNION ALL {curve_sql('u', 'f1')}",
+)
+def _curve(spark, sf):
+    scored = cut_lineage(E.question_table(*sides(spark, sf)))
+    return rounded(E.precision_recall_curve(scored, "exact", "f1"), "precision", "recall")
+
+
 @query(
     "na_prob_histogram",
     f"""

@@ -208,11 +208,12 @@ SUBTOKENS = """
            CAST(list_sum(t2o) AS BIGINT) AS tok_to_orig_sum,
            CAST((SELECT sum(first) FROM f WHERE f.qid = s.qid) AS BIGINT) AS orig_to_tok_sum
     FROM sub s WHERE len(toks) > 0
+    UNION ALL SELECT qid, 0, md5(''), 0, 0 FROM sub WHERE len(toks) = 0
     """,
 )
 def _subtokens(spark, sf):
     r = squad_rows(spark, sf)
-    toks = compute_once(r, ["qid"], T.qa_tokens(F.col("context")).alias("toks")).where(F.size("toks") > 0)
+    toks = compute_once(r, ["qid"], T.qa_tokens(F.col("context")).alias("toks"))
     m = compute_once(toks, ["qid"], Q.project_subtoken_index(F.col("toks"), pieces).alias("m"))
     total = lambda a: F.aggregate(a, F.lit(0).cast("bigint"), lambda t, x: t + x)
     return m.select(

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lexiloom.functions import text as T
+from lexiloom.operators.tags import noise_tokens
 from lexiloom.functions.arrays import compute_once
 from lexiloom.plans.bindings import EVENT_TAGS_SQL, gold_tag, pieces
 from lexiloom.plans.registry import query, table, text_table
@@ -44,10 +45,11 @@ def _tokens(spark, sf):
            CAST(sum(CASE WHEN st THEN i * (ix + 1) ELSE 0 END) AS BIGINT) AS start_sum,
            CAST(sum(ix) AS BIGINT) AS map_sum
     FROM m GROUP BY doc_id
+    UNION ALL SELECT doc_id, 0, 0, 0, 0 FROM documents WHERE text = ''
     """,
 )
 def _offsets(spark, sf):
-    d = text_table(spark, sf, "documents", "doc_id").where(F.length("text") > 0)
+    d = text_table(spark, sf, "documents", "doc_id")
     total = lambda a: F.aggregate(a, F.lit(0).cast("bigint"), lambda t, x: t + x)
     return d.select(
         "doc_id", T.token_starts(F.col("text")).alias("starts"), T.char_to_token(F.col("text")).alias("map")
@@ -78,11 +80,12 @@ def _normalize(spark, sf):
            md5(coalesce(string_agg(tk, ' ' ORDER BY i) FILTER (WHERE mk = 0), '')) AS digest,
            CAST(sum(before) AS BIGINT) AS before_sum
     FROM c GROUP BY page_id
+    UNION ALL SELECT page_id, 0, md5(''), 0 FROM p WHERE len(toks) = 0
     """,
 )
 def _markup(spark, sf):
     p = compute_once(text_table(spark, sf, "pages", "page_id"), ["page_id"], T.tokens(F.col("html")).alias("toks"))
-    return p.where(F.size("toks") > 0).select(
+    return p.select(
         "page_id",
         F.size(T.drop_markup_tokens(F.col("toks"))).cast("bigint").alias("n_kept"),
         F.md5(F.array_join(T.drop_markup_tokens(F.col("toks")), " ")).alias("digest"),
@@ -129,27 +132,19 @@ def _semichar(spark, sf):
     f"""
     WITH t AS ({token_stream('documents', 'doc_id')}),
     d AS (SELECT *, (doc_id * 31 + pos * 17 + 7) % 3 AS act,
-                 CASE WHEN length(term) > 2 THEN 1 + (doc_id * 13 + pos * 29 + 5) % (length(term) - 2) ELSE 0 END AS ix
+                 CASE WHEN length(term) > 2 THEN 1 + (doc_id * 13 + pos * 29 + 7) % (length(term) - 2) ELSE 0 END AS ix
           FROM t),
     n AS (SELECT doc_id, pos, CASE WHEN length(term) < 3 OR act = 0 THEN term
             WHEN act = 1 THEN substr(term, 1, ix) || substr(term, ix + 2)
             ELSE substr(term, 1, ix) || substr(term, ix + 2, 1) || substr(term, ix + 1, 1) || substr(term, ix + 3)
             END AS noisy FROM d)
-    SELECT doc_id, md5(string_agg(noisy, ' ' ORDER BY pos)) AS digest FROM n GROUP BY doc_id
+    SELECT doc_id, md5(coalesce(string_agg(noisy, ' ' ORDER BY pos), '')) AS digest
+    FROM documents LEFT JOIN n USING (doc_id) GROUP BY doc_id
     """,
 )
 def _noise(spark, sf):
     d = compute_once(text_table(spark, sf, "documents", "doc_id"), ["doc_id"], T.tokens(F.col("text")).alias("toks"))
-    doc = F.col("doc_id")
-
-    def one(t, i):
-        act = (doc * 31 + i * 17 + 7) % 3
-        at = F.lit(1) + F.pmod(doc * 13 + i * 29 + 5, F.greatest(F.length(t) - 2, F.lit(1)))
-        return T.noisy_token(t, act, at.cast("int"))
-
-    return d.where(F.size("toks") > 0).select(
-        "doc_id", F.md5(F.array_join(F.transform("toks", one), " ")).alias("digest")
-    )
+    return noise_tokens(d, 7, "doc_id", "toks").select("doc_id", F.md5(F.array_join("toks", " ")).alias("digest"))
 
 
 @query(

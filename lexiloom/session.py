@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-import tempfile
+import os
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Checkpoint folder of local sessions that name none; Spark makes a folder of its own below it.
+LOCAL_CHECKPOINTS = os.environ.get("LEXILOOM_CHECKPOINTS", "/tmp/lexiloom-checkpoints")
+
+
 def local_session(cpus: int | str = "*", app: str = "lexiloom", **conf: str) -> SparkSession:
     """A local session for tests and bench; a cluster brings its own session."""
     n = "8" if cpus == "*" else str(cpus)
@@ -33,7 +37,7 @@ def shared_dir(spark: SparkSession) -> str:
     """The checkpoint folder of the session.
 
     The cluster names it in ``spark.checkpoint.dir``. Where nothing is set, a
-    local session gets a temporary folder; any other master must name one,
+    local session gets ``LOCAL_CHECKPOINTS``; any other master must name one,
     because a folder of one machine does not outlive an executor.
     """
     sc = spark.sparkContext
@@ -44,7 +48,7 @@ def shared_dir(spark: SparkSession) -> str:
     if not named:
         if not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        named = tempfile.mkdtemp(prefix="lexiloom-")
+        named = LOCAL_CHECKPOINTS
     sc.setCheckpointDir(named)
     return sc.getCheckpointDir()
 
