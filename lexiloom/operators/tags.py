@@ -27,7 +27,7 @@ def flatten_sequences(df: DataFrame, seq: str = "seq", pos: str = "pos") -> Data
 
 def noise_tokens(df: DataFrame, seed: int, key: str = "seq", tokens: str = "tokens", drop_tail: bool = False) -> DataFrame:
     """Add noise to the training sentences of a tagger: every token of three or more
-    letters is kept, loses an inner letter or has two inner letters swapped.
+    letters is kept, loses an inner letter or has one swapped with the letter after it.
 
     What happens follows from the integer ``key`` of the sentence, the place of the
     token and ``seed``, so a run can be repeated and a lost task redone.

@@ -8,7 +8,7 @@ from lexiloom.operators import ngrams as N
 from lexiloom.operators import segment as S
 from lexiloom.operators import skew
 from lexiloom.operators.ordered import positions, running_totals
-from lexiloom.operators.skew import spread_join
+from lexiloom.operators.skew import deal, hot_keys, spread_join
 
 COUNTS = {"big": 10, "rock": 10, "bigrock": 1, "b": 2, "ig": 3, "ro": 4, "ck": 4, "gro": 1}
 
@@ -145,7 +145,40 @@ def test_lookup_is_the_same_with_and_without_broadcast(spark, monkeypatch, bound
     monkeypatch.setattr(skew, "MAX_LOOKUP_ROWS", bound)
     left = spark.range(50).select((F.col("id") % 4).alias("k"), "id")
     table = spark.createDataFrame([(0, "a"), (1, "b"), (2, "c")], "k bigint, v string")
-    got = {(r.id, r.v) for r in skew.lookup_join(left, table, ["k"], "left", ["id"]).collect()}
+    got = {(r.id, r.v) for r in skew.lookup_join(left, table, ["k"], "left", spread=["id"]).collect()}
     assert got == {(i, {0: "a", 1: "b", 2: "c"}.get(i % 4)) for i in range(50)}
-    plan = skew.lookup_join(left, table, ["k"], "left", ["id"])._jdf.queryExecution().toString()
+    plan = skew.lookup_join(left, table, ["k"], "left", spread=["id"])._jdf.queryExecution().toString()
     assert ("__part" in plan) == (bound == 0)
+
+
+def test_equal_rows_of_a_hot_key_use_many_parts(spark):
+    left = spark.range(1000).select(F.lit("a").alias("k"), (F.col("id") % 50).alias("row"))
+    hot = hot_keys(left, ["k"], rows_per_task=10)
+    assert hot.count() == 1
+    assert deal(left, hot, ["k"], ["row"]).select("__part").distinct().count() > 1
+    for spread in ([], ["k"]):
+        with pytest.raises(ValueError, match="spread"):
+            spread_join(left, left.limit(1), ["k"], "inner", spread)
+
+
+def test_no_more_hot_keys_than_partitions(spark):
+    left = spark.range(20_000).select((F.col("id") % 3000).alias("k"), "id")
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert hot_keys(left, ["k"], rows_per_task=1).count() <= n
+    right = spark.range(3000).select(F.col("id").alias("k"), F.lit(1).alias("v"))
+    assert spread_join(left, right, ["k"], "inner", ["id"], rows_per_task=1).count() == 20_000
+
+
+def test_null_keys_join_only_if_asked(spark):
+    left = spark.createDataFrame([(None, i) for i in range(50)] + [(1, 50)], "k int, id int")
+    right = spark.createDataFrame([(None, "n"), (1, "one")], "k int, v string")
+    assert spread_join(left, right, ["k"], "inner", ["id"], rows_per_task=5).count() == 1
+    assert spread_join(left, right, ["k"], "left", ["id"], rows_per_task=5).count() == 51
+    safe = spread_join(left, right, ["k"], "inner", ["id"], rows_per_task=5, null_safe=True)
+    assert safe.columns == ["k", "id", "v"] and safe.count() == 51
+
+
+def test_positions_keep_null_keys(spark):
+    df = spark.createDataFrame([(None, 2), (None, 1), ("a", 1), ("a", 5)], "k string, o int")
+    got = {(r.k, r.o): r.pos for r in positions(df, ["k"], ["o"], blocks=3).collect()}
+    assert got == {(None, 1): 0, (None, 2): 1, ("a", 1): 0, ("a", 5): 1}

@@ -276,3 +276,25 @@ def test_ensembles(spark):
     assert N.ensemble_stochastic(p, heavy, 1.0).first()["text"] == "A"
     assert N.ensemble_stochastic(p, heavy, 0.0).first()["text"] == "C"
     assert N.ensemble_stochastic(p, heavy).collect() == N.ensemble_stochastic(p.repartition(7), heavy).collect()
+
+
+def test_softmax_keeps_null_keys(spark):
+    df = spark.createDataFrame([(None, 1, 0.0), (None, 2, 0.0), (1, 3, 5.0)], "k int, id int, s double")
+    got = {r.id: r.probability for r in D.softmax_within(df, ["k"], "s", spread=["id"]).collect()}
+    assert got == {1: 0.5, 2: 0.5, 3: 1.0}
+
+
+def test_question_is_cut_by_the_library(spark):
+    row = spark.range(1).select(F.transform(F.sequence(F.lit(1), F.lit(90)), lambda i: i.cast("string")).alias("q"))
+    assert row.select(F.size(Q.query_tokens(F.col("q"))), F.size(Q.query_tokens(F.col("q"), 5))).first()[:] == (64, 5)
+
+
+def test_curve_points_give_the_area(spark):
+    rows = [(0.1, True, 1.0), (0.2, True, 0.5), (0.2, False, 0.0), (0.9, True, 0.0), (None, True, 0.0)]
+    scores = spark.createDataFrame(rows, "na_prob double, has_answer boolean, score double")
+    points = sorted(E.precision_recall_curve(scores).collect(), key=lambda r: r.na_prob)
+    assert [(r.na_prob, r.precision, r.recall) for r in points] == [(0.1, 1.0, 0.25), (0.2, 0.5, 0.375), (0.9, 0.375, 0.375)]
+    area, before = 0.0, 0.0
+    for r in points:
+        area, before = area + r.precision * (r.recall - before), r.recall
+    assert abs(E.average_precision(scores).first().ap - 100 * area) < 1e-9

@@ -60,3 +60,23 @@ def test_accuracy_and_argmax(spark):
     labels = spark.createDataFrame([(0, "O"), (1, "B"), (2, "I")], "ix bigint, label string")
     assert C.argmax_label(scores, labels, spread=["id"]).first()["label"] == "B"
     assert scores.select(C.argmax_index(F.col("scores"))).first()[0] == 1
+
+
+def test_null_sequences_are_sequences(spark):
+    rows = [(None, 0, "B-X"), (None, 1, "I-X"), ("s", 0, "O"), ("s", 1, "B-Y")]
+    df = spark.createDataFrame(rows, "seq string, pos int, tag string")
+    for slab in (1, 64):
+        got = {(r.seq, r.start, r.end, r.type) for r in C.chunk_spans(df, slab=slab).collect()}
+        assert got == {(None, 0, 1, "X"), ("s", 1, 1, "Y")}
+
+
+def test_noise_is_seeded_and_keeps_the_first_letter(spark):
+    words = ["ab", "abcdef", "hello", "wording"] * 20
+    df = spark.createDataFrame([(i, words) for i in range(4)] + [(9, [])], "seq int, tokens array<string>")
+    one, again, other = (C.noise_tokens(df, s).orderBy("seq").collect() for s in (3, 3, 4))
+    assert one == again != other
+    for row in one:
+        for before, after in zip(words, row.tokens):
+            assert after[:1] == before[:1] and len(before) - len(after) in (0, 1)
+            assert set(after) <= set(before) and (len(before) > 2 or after == before)
+    assert any(a != b for row in one for a, b in zip(words, row.tokens)) and one[-1].tokens == []
