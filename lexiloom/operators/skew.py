@@ -72,12 +72,13 @@ MAX_LOOKUP_ROWS = 200_000
 MAX_LOOKUP_BYTES = 64 << 20
 
 
-def is_small(df: DataFrame) -> bool:
+def is_small(df: DataFrame, rows: int | None = None) -> bool:
     """Whether a table of plain columns is within the broadcast bounds, by reading
     at most one row more than allowed."""
+    most = MAX_LOOKUP_ROWS if rows is None else rows
     width = sum((F.coalesce(F.length(F.col(c).cast("string")), F.lit(0)) * 4 + 16 for c in df.columns), F.lit(0))
-    seen = df.limit(MAX_LOOKUP_ROWS + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("b")).first()
-    return seen["n"] <= MAX_LOOKUP_ROWS and (seen["b"] or 0) <= MAX_LOOKUP_BYTES
+    seen = df.limit(most + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("b")).first()
+    return seen["n"] <= most and (seen["b"] or 0) <= MAX_LOOKUP_BYTES
 
 
 def lookup_join(

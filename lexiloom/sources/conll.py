@@ -61,7 +61,8 @@ def count_sentences(spark: SparkSession, path: str) -> DataFrame:
         (F.count_if(blank & (F.col("line_no") < 2)) == 2).alias("__lead"), F.count_if(~blank).alias("__full")
     )
     starts = number_sentences(lines).where(F.col("pos") == 0).groupBy("file").agg(F.count(F.lit(1)).alias("__n"))
-    # A scan does not visit empty files; the file listing of the reader has them.
+    # A scan does not visit empty files. Spark's file index, which the driver holds
+    # for every read, has their names.
     names = [(name,) for name in spark.read.text(path).inputFiles()]
     files = spark.createDataFrame(names, "__path string")
     key = lambda c: F.regexp_replace(c, "^file:/+", "/")

@@ -8,8 +8,11 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lexiloom.functions.text import strip
+from lexiloom.operators.skew import is_small
+from lexiloom.session import cut_lineage
 
 SLAB = 65536
+MAX_BLOCKS = 1_000_000  # block offsets sent to all tasks, below the byte bound of ``is_small``
 
 
 def read_lines(spark: SparkSession, path: str | list[str], per_file: bool = False) -> DataFrame:
@@ -32,7 +35,10 @@ def read_lines(spark: SparkSession, path: str | list[str], per_file: bool = Fals
     part = F.regexp_extract("file", r"/part-(\d+)[^/]*$", 1).try_cast("bigint")
     order = Window.partitionBy("file").orderBy("__block") if per_file else Window.orderBy(part, "file", "__block")
     before = F.sum("__n").over(order.rowsBetween(Window.unboundedPreceding, -1))
-    offsets = blocks.select("file", "__block", "__first", F.coalesce(before, F.lit(0)).alias("__before"))
+    # Written once: the text is read a second time only to be numbered, and not
+    # shuffled for that unless its blocks are too many to send.
+    offsets = cut_lineage(blocks.select("file", "__block", "__first", F.coalesce(before, F.lit(0)).alias("__before")))
+    offsets = F.broadcast(offsets) if is_small(offsets, MAX_BLOCKS) else offsets
     return raw.join(offsets, ["file", "__block"]).select(
         "file", (F.col("__before") + F.col("__id") - F.col("__first")).alias("line_no"), "text"
     )
