@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lexiloom.functions.arrays import entries
+from lexiloom.functions.arrays import compute_once, entries
 from lexiloom.functions.vectors import dot, doubles, unit
 from lexiloom.operators.skew import deal, hot_keys, repeat, spread_join
 from lexiloom.session import cut_lineage
@@ -99,6 +99,51 @@ def most_similar(
     return blocks.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
+def similar_in_buckets(
+    queries: DataFrame,
+    table: DataFrame,
+    dim: int,
+    k: int = 10,
+    tables: int = 16,
+    bits: int = 12,
+    seed: int = 0,
+    exclude_self: bool = True,
+) -> DataFrame:
+    """Like ``most_similar``, but only words that share a bucket are compared:
+    (word, rank, other, sim). Approximate in which words it finds, exact in their
+    similarities and order.
+
+    A bucket is the side of ``bits`` random hyperplanes on which a vector of
+    ``dim`` numbers lies, in each of ``tables`` independent tables. Words at an
+    angle a share one with probability 1 - (1 - (1 - a / pi) ** bits) ** tables.
+    More bits make buckets smaller, more tables find more; a bucket should hold a
+    few hundred words, so add a bit whenever the table doubles. Every word is
+    indexed and nothing is capped: hot buckets are dealt over many tasks.
+    """
+    planes = np.random.default_rng(seed).normal(size=(tables, bits, dim))
+
+    def bucketed(side: DataFrame, name: str) -> DataFrame:
+        u = F.col(f"{name}u")
+        code = lambda t: sum(
+            (F.when(dot(u, F.array(*[F.lit(float(x)) for x in planes[t, b]])) >= 0, 1 << b).otherwise(0) for b in range(bits)),
+            F.lit(0),
+        )
+        codes = F.array(*[F.struct(F.lit(t).alias("t"), code(t).alias("b")) for t in range(tables)])
+        units = compute_once(side, ["word"], unit(F.col("vec")).alias(f"{name}u"))
+        return units.select(F.col("word").alias(f"{name}word"), f"{name}u", F.inline(codes))
+
+    q, t = bucketed(queries, "q"), bucketed(table, "t")
+    met = spread_join(t, q, ["t", "b"], "inner", ["tword"])
+    met = met.where(F.col("qword") != F.col("tword")) if exclude_self else met
+    # The same two words may meet in several tables; their similarity is the same there.
+    pairs = met.select(
+        F.col("qword").alias("word"), F.col("tword").alias("other"), F.round(dot(F.col("qu"), F.col("tu")), DIGITS).alias("sim")
+    )
+    best = pairs.groupBy("word", "other").agg(F.max("sim").alias("sim"))
+    order = Window.partitionBy("word").orderBy(F.desc("sim"), "other")
+    return best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+
+
 def vector_size(vectors: DataFrame, vec: str = "vec") -> int:
     """Number of dimensions, read from one row."""
     row = vectors.select(F.size(vec).alias("n")).first()

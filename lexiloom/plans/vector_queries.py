@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from lexiloom.functions import vectors as FV
 from lexiloom.operators import vectors as V
 from lexiloom.operators.ordered import positions
+from lexiloom.operators.skew import spread_join
 from lexiloom.plans.registry import query, table
 
 VEC = "vec AS MATERIALIZED (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings)"
@@ -154,9 +155,9 @@ CONTEXT = f"""
 )
 def _rerank(spark, sf):
     w, s = word_vectors(spark, sf), sentences(spark, sf)
-    found = V.most_similar(w, w, 10)
     targets = s.select("qid", F.get("tokens", F.col("target_idx")).alias("word"))
-    cands = targets.join(found, "word").select("qid", "other")
+    found = V.most_similar(w.join(targets.select("word").distinct(), "word", "left_semi"), w, 10)
+    cands = spread_join(targets, found, ["word"], "inner", ["qid"]).select("qid", "other")
     return V.rerank_in_context(cands, s, w).select(
         "qid", F.col("rank").cast("bigint").alias("rank"), "other", F.round("score", 6).alias("score")
     )
@@ -209,6 +210,6 @@ def _hits(spark, sf):
         .select(name("head").alias("word"), "gold")
     )
     targets = s.select("qid", F.get("tokens", F.col("target_idx")).alias("word"))
-    gold = targets.join(gold_of, "word").select("qid", "gold")
+    gold = spread_join(targets, gold_of, ["word"], "inner", ["qid"]).select("qid", "gold")
     out = V.hit_precision(gold, V.substitutes(s, word_vectors(spark, sf), 10))
     return out.withColumn("precision", F.round("precision", 6))

@@ -5,6 +5,7 @@ import os
 import pytest
 
 import __spark_entry__ as entry_module
+from lexiloom.plans import load
 from tests.compare import difference, duck
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -15,11 +16,16 @@ def con():
     return duck(SF_DIR)
 
 
-@pytest.mark.parametrize("name", list(entry_module.queries()))
+def test_every_query_of_the_plans_has_sql():
+    registry = load()
+    assert set(registry.QUERIES) == set(registry.SQL)
+    assert set(registry.QUERIES) <= set(entry_module.queries()) and set(entry_module.oracle_sql()) <= set(entry_module.queries())
+
+
+@pytest.mark.parametrize("name", list(load().QUERIES))
 def test_query_matches_sql(spark, con, name):
     got = entry_module.queries()[name](spark, SF_DIR).toPandas()
-    sql = entry_module.oracle_sql().get(name)
-    assert sql, f"{name} has no SQL"
+    sql = entry_module.oracle_sql()[name]
     assert difference(got, con.execute(sql).fetchdf()) is None
 
 

@@ -41,6 +41,23 @@ def test_most_similar_against_all_pairs(spark, random_vectors, block):
         assert math.isclose(got[w][1][1], sims[i, order[0]], abs_tol=1e-9)
 
 
+def test_buckets_find_most_of_the_nearest(spark):
+    rng = np.random.default_rng(1)
+    centres = rng.normal(size=(20, 8))
+    vecs = {f"w{i:03d}": centres[i % 20] + 0.3 * rng.normal(size=8) for i in range(300)}
+    t = table(spark, vecs)
+    exact = {(r.word, r.other): r.sim for r in V.most_similar(t, t, 5).collect()}
+    got = V.similar_in_buckets(t, t, 8, 5, tables=16, bits=5, seed=3).collect()
+    found = {(r.word, r.other): r.sim for r in got}
+    assert len(set(exact) & set(found)) >= 0.9 * len(exact)
+    assert all(math.isclose(found[p], exact[p], abs_tol=1e-9) for p in set(exact) & set(found))
+    by_word = {}
+    for r in sorted(got, key=lambda r: r["rank"]):
+        by_word.setdefault(r.word, []).append(r.sim)
+    assert all(sims == sorted(sims, reverse=True) for sims in by_word.values())
+    assert {(r.word, r.other) for r in V.similar_in_buckets(t, t, 8, 1, bits=5, exclude_self=False).collect()} == {(w, w) for w in vecs}
+
+
 def brute_retrofit(vecs, edges, iters, alpha, beta, published=False):
     cur = dict(vecs)
     for _ in range(iters):
