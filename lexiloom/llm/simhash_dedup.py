@@ -36,6 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
+from lexiloom.llm import exact_dedup
 from lexiloom.llm.graph import components
 from lexiloom.llm.store import empty_if_null, map_arrow, partitions, slices, stored
 from lexiloom.operators.skew import spread_join
@@ -208,26 +209,48 @@ def links(fps: DataFrame, dense: int = DENSE) -> DataFrame:
     return found.where("NOT hot").select("u", "v").unionByName(_midpoint_links(found.where("hot").select("u", "v")))
 
 
+def _classes(rows: DataFrame, dense: int) -> DataFrame:
+    """(fp, component_id, root) of every fingerprint of ``rows`` (id, fp)."""
+    groups = stored(rows.groupBy("fp").agg(F.min("id").alias("least")))
+    root = components(links(groups.select("fp"), dense)).select(F.col("node").alias("fp"), "root")
+    named = stored(groups.join(root, "fp", "left").withColumn("root", F.coalesce("root", "fp")))
+    smallest = named.groupBy("root").agg(F.min("least").alias("component_id"))
+    return stored(named.join(smallest, "root").select("fp", "component_id", "root"))
+
+
 def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 4, dense: int = DENSE
 ) -> DataFrame:
     """One row per row of ``docs``: id, fingerprint (16 hex digits), component_id."""
     rows = stored(fingerprints(docs, id_col, text_col, k))
-    groups = stored(rows.groupBy("fp").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("n")))
-    root = components(links(groups.select("fp"), dense)).select(F.col("node").alias("fp"), "root")
-    named = groups.join(root, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    smallest = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    labels = stored(named.join(smallest, "root").select("fp", "component_id"))
+    labels = _classes(rows, dense).drop("root")
     return spread_join(rows, labels, ["fp"], "inner", ["id"]).select(
         F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
 
 
-def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
-    """``docs`` with one whole row of every component: that of the smallest id."""
-    stay = near_duplicates(docs, id_col, text_col, **how)
-    stay = stay.where(F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("__id")).distinct()
-    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(id_col).alias("__i"))
-    kept = whole.join(stay, F.col("__i").eqNullSafe(F.col("__id")), "left_semi")
-    # Rows that repeat a whole id are copies of each other in the group as well.
-    return kept.select("row.*").dropDuplicates([id_col])
+def drop_near_duplicates(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 4, dense: int = DENSE
+) -> DataFrame:
+    """``docs`` with one whole row of every component: that of the smallest id.
+
+    Rows that agree in id and text are one. A component without any id keeps the
+    row of its smallest text digest.
+    """
+    rows = stored(fingerprints(docs, id_col, text_col, k))
+    labels = _classes(rows, dense)
+    stay = labels.where("component_id IS NOT NULL").select(F.col("component_id").alias("__id")).distinct()
+    whole = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+        F.col(id_col).alias("__id"),
+        exact_dedup.digest(F.col(text_col)).alias("__d"),
+        empty_if_null(F.col(text_col)).alias("__t"),
+    )
+    named = whole.where("__id IS NOT NULL").drop("__t").join(stay, "__id", "left_semi").dropDuplicates(["__id", "__d"])
+    # Rows without an id, if there are any: one of each text, then one of each component that has no id at all.
+    nameless = stored(whole.where("__id IS NULL").dropDuplicates(["__d"]))
+    prints = fingerprints(nameless, "__d", "__t", k).select(F.col("id").alias("__d"), "fp")
+    best = (
+        prints.join(labels.where("component_id IS NULL"), "fp").groupBy("root").agg(F.min("__d").alias("__d")).select("__d")
+    )
+    return named.select("row.*").unionByName(nameless.join(best, "__d", "left_semi").select("row.*"))

@@ -15,7 +15,8 @@ Verdicts return to the captures by (url, day), which no host makes hot.
 Defined results: a null or malformed URL matches nothing and is kept; a capture
 without a fetch time is judged as not listed. An entry takes effect at the start
 of its day; of entries for the same rule and day a removal wins. Repeated
-captures are separate rows. Extra columns pass through.
+captures are separate rows. Extra columns pass through; ``listed`` and ``kept``
+are replaced if the captures have them.
 """
 
 from __future__ import annotations
@@ -90,7 +91,7 @@ def filter_urls(captures: DataFrame, entries: DataFrame, url_col: str = "url", d
     )
     verdicts = stored(hits.groupBy("url", "day").agg(F.array_sort(F.collect_set("category")).alias("listed")))
     whole = captures.select(
-        F.struct(*[F.col(f"`{c}`") for c in captures.columns]).alias("row"),
+        F.struct(*[F.col(f"`{c}`") for c in captures.columns if c.lower() not in ("listed", "kept")]).alias("row"),
         F.col(url_col).cast("string").alias("__u"),
         F.col(day_col).cast("date").alias("__d"),
     )

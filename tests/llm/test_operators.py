@@ -144,7 +144,12 @@ def test_simhash_drop(spark):
     assert out.columns == docs.columns
     ids = [r.doc_id for r in out.collect()]
     assert len(ids) == len(set(ids)) and 200 not in ids and 100 not in ids and {0, 1} <= set(ids)
+    assert Counter(r.text for r in out.collect() if r.doc_id is None) == Counter({"of null ids": 1})
+    more = [(None, "of null ids", "s"), (None, ROWS[5][1], "s"), (None, ROWS[6][1], "s"), (None, ROWS[6][1], "t"), (7, ROWS[6][1], "s"), (7, ROWS[6][1], "s")]
+    kept = simhash_dedup.drop_near_duplicates(frame(spark, more)).collect()
+    assert Counter((r.doc_id, r.text) for r in kept) == Counter([(None, "of null ids"), (None, ROWS[5][1]), (7, ROWS[6][1])])
     assert simhash_dedup.near_duplicates(empty(spark)).count() == 0
+    assert simhash_dedup.drop_near_duplicates(empty(spark)).count() == 0
 
 
 def test_components_of_a_long_path(spark):
