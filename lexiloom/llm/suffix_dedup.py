@@ -24,9 +24,10 @@ none is a prefix of another, so the order of chunk sequences is that of the
 bytes. A window is settled at its first certain chunk: some other suffix agrees
 with it up to the window's end, and with the few bytes before.
 
-An anchor with more than ``DENSE`` places is not joined into a block: each of its
-windows is counted by a 128-bit hash in an ordinary aggregate, which combines
-before the shuffle. Texts with exact copies need no search: all their bytes go if
+An anchor with more than ``DENSE`` places is not joined into a block. Its contexts
+are counted by a 128-bit hash in an ordinary aggregate, which combines before the
+shuffle; then, of one place for each different context, the windows are counted in
+the same way. Rows grow with the different contexts, never with pairs of places. Texts with exact copies need no search: all their bytes go if
 they have ``length`` of them. Frequent copies are removed before any text is
 shuffled.
 
@@ -53,7 +54,7 @@ from lexiloom.operators.skew import spread_join
 LENGTH = 200
 ANCHOR = 48
 CHUNK = 16
-DENSE = 4096
+DENSE = 16384
 BLOCK_BYTES = 1 << 20
 SEGMENT = 4 << 20  # a longer text is searched in segments of so many windows
 RECORDS = 2_000_000  # anchor records held before singles and hot anchors are looked for
@@ -250,27 +251,64 @@ def _contexts(length: int):
     return run
 
 
-def _hot_windows(length: int):
-    """Rows (a, b, rid, lo): a 128-bit hash of every window of a hot anchor."""
+def _digests(raw: bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """128-bit hashes of pieces of ``raw``, as two columns."""
+    found = [hashlib.blake2b(raw[a:b], digest_size=16).digest() for a, b in zip(starts.tolist(), ends.tolist())]
+    return np.frombuffer(b"".join(found), np.int64).reshape(-1, 2)
+
+
+def _hot_contexts(length: int):
+    """Rows (a, b, rid, lo, n): hash, place and windows of every context of a hot anchor."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             data, offsets, doc, lo, hi, _ = _chosen(batch, True, length)
-            raw, rid = data.tobytes(), batch.column("rid").to_numpy()
-            for begin in range(0, len(doc), 1024):  # bounded output batches
-                part = slice(begin, begin + 1024)
-                n = hi[part] - lo[part] + 1
-                starts = np.repeat(lo[part] - np.cumsum(n) + n, n) + np.arange(n.sum())
-                of = np.repeat(doc[part], n)
-                digests = b"".join([hashlib.blake2b(raw[s : s + length], digest_size=16).digest() for s in starts.tolist()])
-                pairs = np.frombuffer(digests, np.int64).reshape(-1, 2)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(pairs[:, 0]), pa.array(pairs[:, 1]), pa.array(rid[of]), pa.array(starts - offsets[of])], ["a", "b", "rid", "lo"]
-                )
+            pairs = _digests(data.tobytes(), lo, hi + length)
+            rid = batch.column("rid").to_numpy()[doc] if len(doc) else np.zeros(0, np.int64)
+            columns = (pairs[:, 0], pairs[:, 1], rid, lo - offsets[doc] if len(doc) else lo, hi - lo + 1)
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["a", "b", "rid", "lo", "n"])
 
     return run
 
 
+def _hot_windows(length: int):
+    """Rows (a, b, rid, lo): hash and place of every window of the contexts ``chosen``
+    (lo, n) of a text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text"):
+            for text, rid, chosen in zip(*(batch.column(c).to_pylist() for c in ("text", "rid", "chosen"))):
+                raw = text.encode()
+                for begin in range(0, len(chosen), 256):  # bounded output batches
+                    starts = np.concatenate([np.arange(c["lo"], c["lo"] + c["n"]) for c in chosen[begin : begin + 256]])
+                    pairs = _digests(raw, starts, starts + length)
+                    columns = (pairs[:, 0], pairs[:, 1], np.full(len(starts), rid), starts)
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["a", "b", "rid", "lo"])
+
+    return run
+
+
+def _hot_spans(texts: DataFrame, length: int) -> DataFrame:
+    """Spans (rid, begin, end) of the repeated windows of hot anchors."""
+
+    def twice(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """(one place of every different hash, hashes with two places or more)."""
+        place = F.struct("rid", "lo")
+        found = stored(rows.groupBy("a", "b").agg(F.min(place).alias("x"), F.max(place).alias("y"), F.min("n").alias("n")))
+        return found.select("x.*", "n"), found.where("x <> y").select("a", "b")
+
+    def spans(rows: DataFrame, repeated: DataFrame) -> DataFrame:
+        both = spread_join(rows, repeated, ["a", "b"], "left_semi", ["rid", "lo"])
+        return both.select("rid", F.col("lo").alias("begin"), (F.col("lo") + F.col("n") - 1 + length).alias("end"))
+
+    contexts = stored(map_arrow(texts, _hot_contexts(length), "a long, b long, rid long, lo long, n long"))
+    one_each, repeated = twice(contexts)
+    chosen = one_each.groupBy("rid").agg(F.collect_list(F.struct("lo", "n")).alias("chosen"))
+    windows = map_arrow(texts.select("rid", "text").join(chosen, "rid"), _hot_windows(length), "a long, b long, rid long, lo long")
+    windows = stored(windows).withColumn("n", F.lit(1).cast("bigint"))
+    return spans(contexts, repeated).unionByName(spans(windows, twice(windows)[1]))
+
+
 SPACE = np.zeros(256, bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
 
@@ -464,13 +502,7 @@ def repeated_spans(
     cold = map_arrow(
         contexts.repartition(n, "h").sortWithinPartitions("h", "context"), _blocks(block_bytes, length), "rid long, begin long, end long"
     )
-    windows = stored(map_arrow(texts, _hot_windows(length), "a long, b long, rid long, lo long"))
-    place = F.struct("rid", "lo")
-    twice = windows.groupBy("a", "b").agg(F.min(place).alias("x"), F.max(place).alias("y")).where("x <> y").select("a", "b")
-    hot = spread_join(windows, twice, ["a", "b"], "left_semi", ["rid", "lo"]).select(
-        "rid", F.col("lo").alias("begin"), (F.col("lo") + length).alias("end")
-    )
-    return texts, cold.unionByName(hot)
+    return texts, cold.unionByName(_hot_spans(texts, length))
 
 
 def remove_repeats(
