@@ -9,6 +9,7 @@ meets often only once. ``tests/llm`` compares this with encoding whole texts.
 from __future__ import annotations
 
 import os
+import re
 from array import array
 from functools import lru_cache
 
@@ -17,7 +18,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 END_ID = 1
-CACHED_WORDS = 400_000  # bound of the words a task remembers
+CACHED_WORDS = 400_000  # bound of the words a Python worker remembers
 TEXT_BYTES = 4 << 20  # text encoded at once, in which each different word is looked up once
 CACHED_BYTES = 48  # longer words are encoded every time
 
@@ -28,6 +29,33 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+# Lower-case Latin letters, which normalising leaves as they are.
+_plain = re.compile(r"[a-z\u00df-\u00f6\u00f8-\u00ff]+").fullmatch
+
+
+def _byte_letters() -> dict[int, str]:
+    """The byte-level alphabet: bytes that are not printable Latin-1 stand for 256 and on."""
+    shown = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(256 + i) for i, b in enumerate(hidden)}
+
+
+_BYTE_LETTERS = _byte_letters()
+
+
+def _fewer_forms(texts: pa.Array) -> pa.Array:
+    """Texts with the same ids but fewer different words: lower-case letters, and a
+    comma or stop that ends a word set apart.
+
+    The tokenizer lowers letters itself and splits between a letter or digit and a
+    comma or stop. Texts with special tokens, or with marks that may join a letter
+    of one case only, are left alone.
+    """
+    delicate = pc.match_substring_regex(texts, r"<\||\p{M}")
+    apart = pc.replace_substring_regex(pc.ascii_lower(texts), r"([\p{L}\p{N}])([.,])(\s|$)", r"\1 \2\3")
+    return pc.if_else(delicate, texts, apart)
+
+
 @lru_cache(maxsize=1)
 def _tokenizer(path: str):
     """The tokenizer of a Python worker; it is kept for later tasks."""
@@ -37,21 +65,29 @@ def _tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
+#: Words that the last task of this Python worker met lately, at most half of ``CACHED_WORDS``.
+_lately: dict[str, dict[str, bytes]] = {}
+
+
 class WordEncoder:
-    """Encodes the texts of one task; the words it remembers are freed with it."""
+    """Encodes the texts of one task; half of the words it remembers pass to the next."""
 
     def __init__(self, path: str):
         self.tokenizer = _tokenizer(path)
         # words of the running half and of the half before: a word met in both stays
         self.known: dict[str, bytes] = {}
-        self.before: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = _lately.get(path, {})
+        self.path = path
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids, ends): the ids of all texts, each followed by the end id, and where
         each text ends in them. ``texts`` has no nulls."""
-        split = pc.ascii_split_whitespace(texts.cast(pa.large_string()))
+        # A copy of its own: Arrow's letter functions misplace the values of a slice.
+        texts = texts.cast(pa.large_string()).take(pa.array(np.arange(len(texts))))
+        split = pc.ascii_split_whitespace(_fewer_forms(texts))
         flat = pc.list_flatten(split).dictionary_encode()
         coded = self._words(flat.dictionary.to_pylist())
+        _lately[self.path] = self.known
         coded.append(END_ID.to_bytes(4, "little"))  # the end id is one more word of every text
         offsets = np.cumsum(np.fromiter(map(len, coded), np.int64, len(coded)) // 4)
         pool = pa.array(np.frombuffer(b"".join(coded), np.uint32))
@@ -78,34 +114,18 @@ class WordEncoder:
         return coded
 
     def _encode(self, words: list[str]) -> dict[str, bytes]:
-        """Ids of words, each lower-case form before a comma or stop encoded once.
-
-        The tokenizer lowers letters one by one, and splits between a letter or
-        digit and a comma or stop.
-        """
-        parts = {}
+        coded, rest, merge = {}, [], self.tokenizer.model.tokenize
         for word in words:
-            stem, tail = word, ""
-            if word.isascii() and "<" not in word:  # else it may hold a special token
-                stem = word.lower()
-                if len(word) > 1 and word[-1] in ",." and word[-2].isalnum():
-                    stem, tail = stem[:-1], word[-1]
-            parts[word] = stem, tail
-        coded, rest, bpe = {}, [], self.tokenizer.model.tokenize
-        for stem in {s for s, _ in parts.values()} | {t for _, t in parts.values() if t}:
-            known = self.known.get(stem) or self.before.get(stem)
-            if known is not None:
-                coded[stem] = known
-            elif stem.isascii() and stem.isalpha() and stem.islower():
-                # nothing to normalise or split: only the merges are left to do
-                coded[stem] = array("I", [t.id for t in bpe(stem)]).tobytes()
+            if _plain(word):  # nothing to normalise or split: only the merges are left to do
+                letters = word if word.isascii() else word.encode().decode("latin-1").translate(_BYTE_LETTERS)
+                coded[word] = array("I", [t.id for t in merge(letters)]).tobytes()
             else:
-                rest.append(stem)
+                rest.append(word)
         for begin in range(0, len(rest), 4096):
             some = rest[begin : begin + 4096]
-            for s, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
-                coded[s] = array("I", e.ids).tobytes()
-        return {w: coded[s] + coded[t] if t else coded[s] for w, (s, t) in parts.items()}
+            for word, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
+                coded[word] = array("I", e.ids).tobytes()
+        return coded
 
     def _remember(self, word: str, ids: bytes) -> None:
         if len(self.known) >= CACHED_WORDS // 2:

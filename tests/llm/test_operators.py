@@ -25,7 +25,7 @@ from lexiloom.llm import (
     url_filter,
     words,
 )
-from lexiloom.llm.store import scratch
+from lexiloom.llm.store import scratch, slices
 from tests.llm import brute
 from tests.llm.data import awkward, empty, frame
 
@@ -237,8 +237,19 @@ def test_words_equal_whole_texts(tokenizer):
     assert encoded(words.WordEncoder(VOCABULARY), []) == []
 
 
+def test_slices_of_a_batch_are_encoded(tokenizer):
+    texts = [t or "" for _, t, _ in ROWS]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], ["text"])
+    encoder, got = words.WordEncoder(VOCABULARY), []
+    for part in slices([batch], "text", 3000):
+        ids, ends = encoder.encode(part.column("text"))
+        got += [x.tolist() for x in np.split(ids, ends[:-1])]
+    assert got == [brute.token_ids(tokenizer, t) for t in texts]
+
+
 def test_word_cache_bound(monkeypatch, tokenizer):
     monkeypatch.setattr(words, "CACHED_WORDS", 5)
+    monkeypatch.setattr(words, "_lately", {})
     encoder = words.WordEncoder(VOCABULARY)
     for text in ("a b c d", "e f g a", "b " * 9 + "z" * 100):
         assert encoded(encoder, [text]) == [brute.token_ids(tokenizer, text)]
