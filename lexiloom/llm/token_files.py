@@ -49,18 +49,11 @@ BLOCK_IDS = 1 << 17  # a block is closed at the first slice of texts that fills
 
 def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(words, starts, escapes) of unsigned ids; greedy, as many ids in a word as fit."""
-    ids = np.ascontiguousarray(ids, np.uint64)
+    ids = np.ascontiguousarray(ids)
     n = len(ids)
     if not n:
         return np.zeros(0, np.uint64), np.zeros(0, np.uint32), np.zeros(0, np.uint64)
-    choice = np.full(n, ESCAPE, np.int8)  # best selector of a word that begins here
-    left = RUN - np.arange(n) % RUN
-    left = np.minimum(left, n - np.arange(n))
-    for s in range(len(COUNTS) - 1, 0, -1):  # the largest count that fits is set last
-        count = int(COUNTS[s])
-        wide = np.concatenate(([0], np.cumsum(ids >> np.uint64(60 // count) != 0)))
-        end = np.minimum(np.arange(n) + count, n)
-        choice[(wide[end] == wide[:-1]) & (left >= count)] = s
+    choice = _choices(ids)
     after = (np.arange(n) + COUNTS[choice]).tolist()
     at, begins = 0, []
     while at < n:
@@ -75,9 +68,37 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         count = int(COUNTS[s])
         mine = np.flatnonzero(selector == s)
         for k in range(count):
-            words[mine] |= ids[begins[mine] + k] << np.uint64(k * (60 // count))
+            words[mine] |= ids[begins[mine] + k].astype(np.uint64) << np.uint64(k * (60 // count))
     starts = np.searchsorted(begins, np.arange(0, n, RUN)).astype(np.uint32)
-    return words, starts, ids[begins[selector == ESCAPE]]
+    return words, starts, ids[begins[selector == ESCAPE]].astype(np.uint64)
+
+
+def _choices(ids: np.ndarray) -> np.ndarray:
+    """For every place the selector that packs most ids into a word that begins there.
+
+    A word of more ids has narrower fields, so it fits only where one of fewer
+    fits: each step looks at the places left by the step before.
+    """
+    n = len(ids)
+    place = np.arange(n, dtype=np.int32)
+    left = np.minimum(RUN - place % RUN, n - place)  # ids to the end of the run
+    largest = int(ids.max())
+    choice = np.full(n, ESCAPE, np.int8)
+    fits = place  # places where a word of the count before fits
+    for s in range(len(COUNTS) - 1, 0, -1):
+        count, bits = int(COUNTS[s]), 60 // int(COUNTS[s])
+        fits = fits[left[fits] >= count]
+        if largest >> bits:
+            limit = ids.dtype.type(1 << bits)  # some id is wider, so this fits the type
+            if len(fits) > n // 16:
+                wide = np.zeros(n + 1, np.int32)
+                np.cumsum(ids >= limit, out=wide[1:])
+                fits = fits[wide[fits + count] == wide[fits]]
+            else:
+                for k in range(count):
+                    fits = fits[ids[fits + k] < limit]
+        choice[fits] = s
+    return choice
 
 
 def unpack(words: np.ndarray, escapes: np.ndarray) -> np.ndarray:
