@@ -58,6 +58,20 @@ def test_buckets_find_most_of_the_nearest(spark):
     assert {(r.word, r.other) for r in V.similar_in_buckets(t, t, 8, 1, bits=5, exclude_self=False).collect()} == {(w, w) for w in vecs}
 
 
+def test_default_buckets_on_the_embeddings(spark):
+    t = spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet").select(F.col("vec_id").alias("word"), F.col("embedding").alias("vec"))
+    exact = {(r.word, r.other) for r in V.most_similar(t, t, 10).collect()}
+    got = {(r.word, r.other) for r in V.similar_in_buckets(t, t, V.vector_size(t), 10).collect()}
+    assert len(got) == len(exact) and len(got & exact) >= 0.9 * len(exact)
+
+
+def test_words_of_empty_buckets_are_searched_exactly(spark, random_vectors):
+    t = table(spark, random_vectors)
+    exact = sorted((r.word, r["rank"], r.other, r.sim) for r in V.most_similar(t, t, 5).collect())
+    # One table of 30 planes: hardly any two words share a bucket.
+    assert sorted((r.word, r["rank"], r.other, r.sim) for r in V.similar_in_buckets(t, t, 6, 5, tables=1, bits=30).collect()) == exact
+
+
 def brute_retrofit(vecs, edges, iters, alpha, beta, published=False):
     cur = dict(vecs)
     for _ in range(iters):
