@@ -232,10 +232,18 @@ def _fit_cell(at: DataFrame, cells: DataFrame) -> DataFrame:
 def taken_words(
     docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", seed: int = 7, **how
 ) -> DataFrame:
-    """One row per document: id, size, source_size, target, copies and taken words."""
+    """One row per document: id, size, source_size, target, taken words, copies and block,
+    with the shard and the place in it of every copy, as in ``mix``."""
     rows = stored(docs.select(F.col(id_col).alias("id"), *keyed(docs, id_col, source_col, seed), n_words(F.col(text_col)).alias("size")))
-    return draw(rows, seed=seed, **how).annotate(rows).select(
-        F.col("id").alias(id_col), "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies", "block"
+    plan = draw(rows, seed=seed, **how)
+    drawn = plan.shards.groupBy("rank", "block").agg(F.array_sort(F.collect_list(F.struct("copy", "shard"))).alias("drawn"))
+    placed = plan.annotate(rows).join(checked(stored(drawn)), ["rank", "block"], "left").withColumn(
+        "drawn", F.filter(F.coalesce("drawn", F.array().cast("array<struct<copy:int,shard:int>>")), lambda d: d["copy"] < F.col("copies"))
+    )
+    return placed.select(
+        F.col("id").alias(id_col), "size", "source_size", "target", (F.size("drawn") * F.col("size")).alias("taken"), "copies", "block",
+        F.col("drawn.shard").alias("shards"),
+        F.transform("drawn", lambda d: F.xxhash64("h", d["copy"], F.lit(seed))).alias("places"),
     )
 
 

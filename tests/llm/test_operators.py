@@ -200,6 +200,17 @@ def test_many_blocks_and_shards(spark):
     assert set(shards) <= set(range(16)) and len(shards) > 8
 
 
+def test_taken_words_lie_in_the_shards_of_the_mix(spark):
+    rows = [(i, "w " * (i % 50 + 1), f"s{i % 5}") for i in range(2000)]
+    docs = frame(spark, rows).drop("n")
+    how = {"shards": 8, "blocks_per_shard": 8}
+    mixed = Counter(tuple(r) for r in mixing.mix(docs, **how).select("doc_id", "shard", "place").collect())
+    taken = mixing.taken_words(docs, **how).collect()
+    assert mixed == Counter((r.doc_id, s, p) for r in taken for s, p in zip(r.shards, r.places, strict=True))
+    assert all(r.taken == len(r.shards) * r["size"] and r.copies == len(r.shards) for r in taken)
+    assert {len(r.shards) for r in taken} >= {0, 1}
+
+
 def test_splitting_tree_quotas(spark):
     blocks = spark.createDataFrame([(s, b, 0) for s, n in enumerate((50, 20, 10, 1)) for b in range(n)], "rank int, block int, copy int")
     quotas = mixing.split_over_shards(blocks, 8, 1).collect()
