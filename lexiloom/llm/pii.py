@@ -39,14 +39,15 @@ from lexiloom.llm.store import empty_if_null, map_arrow, slices
 
 BASE_KINDS = ("email", "ip", "card", "phone")
 KINDS = (*BASE_KINDS, "userinfo", "iban", "account", "ssn")
-ACCOUNT_CUES = ("account no", "account number", "account:", "acct", "Account no", "Account number", "Account:", "Acct", "ACCOUNT", "ACCT")
-SSN_CUES = ("SSN", "ssn", "social security", "Social Security", "Social security")
+#: Found in an ASCII-lowered copy of the text; "account" covers "account no." and the like, as _after_cue passes over the rest.
+ACCOUNT_CUES = ("account", "acct")
+SSN_CUES = ("ssn", "social security")
 CUES = (
     ("@", "at"),
     ("+", "plus"),
     ("://", "scheme"),
     *((d, "digit") for d in "0123456789"),
-    *((c, "iban") for c in ("IBAN", "iban", "Iban")),
+    ("iban", "iban"),
     *((c, "account") for c in ACCOUNT_CUES),
     *((c, "ssn") for c in SSN_CUES),
 )
@@ -76,12 +77,17 @@ def mod97(account: str) -> bool:
     return int("".join(str(int(c, 36)) for c in moved)) % 97 == 1
 
 
+def ascii_lower(text: str) -> str:
+    """Lower-case ASCII letters, all other code points kept in their places."""
+    return text.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass")
+
+
 def find(text: str) -> list[tuple[str, int, int]]:
     """(kind, start, end) of everything found, by kind as listed and then start."""
     spans: dict[str, list[tuple[int, int]]] = {k: [] for k in KINDS}
     email_end = dotted_end = grouped_end = 0
     done = dict.fromkeys(("userinfo", "iban", "account", "ssn"), 0)
-    for last, (kind, size) in automaton(CUES).iter(text):
+    for last, (kind, size) in automaton(CUES).iter(ascii_lower(text)):
         at = last - size + 1
         if kind == "digit":
             if at >= dotted_end:
