@@ -102,6 +102,28 @@ def test_score_of_segmentation(spark):
     assert math.isclose(got[1], 2 * math.log10(30 / 300) + math.log10(30 / 400), abs_tol=1e-9) and got[2] == 0.0
 
 
+@pytest.mark.parametrize("hot", ["word", "prev"])
+def test_pairs_of_a_hot_word_use_many_parts(spark, monkeypatch, hot):
+    rows = [("big", f"w{i}") if hot == "prev" else (f"w{i}", "big") for i in range(200)] + [("ro", "ck")]
+    pairs = spark.createDataFrame(rows, "prev string, word string")
+    parts = {}
+
+    def watched(left, right, on, how, spread, hot):
+        dealt = deal(left, hot, on, spread)
+        parts[tuple(on)] = dealt.select("__part").distinct().count()
+        return spread_join(left, right, on, how, spread, hot=hot)
+
+    monkeypatch.setattr(N, "hot_keys", lambda df, on: hot_keys(df, on, 10))
+    monkeypatch.setattr(N, "spread_join", watched)
+    bigrams = spark.createDataFrame([("ro ck", 2)], "gram string, cnt bigint")
+    got = N.bigram_conditional(pairs, counts(spark), bigrams, 100, N.PLAIN, spread=[F.lit(0)]).collect()
+    assert parts[(hot,)] > 1 and parts[("prev", "word")] == 1
+    p1 = {"big": 0.1, "ck": 0.04}
+    want = {(p, w): (0.5 if p == "ro" else p1.get(w, 0.01), p1.get(w, 0.01)) for p, w in rows}
+    assert len(got) == len(rows)
+    assert all(math.isclose(x, y) for r in got for x, y in zip((r.cond, r.p1), want[r.prev, r.word]))
+
+
 def test_vocab_and_unknown_terms(spark):
     df = spark.createDataFrame([(0, 0, "b"), (0, 1, "a"), (1, 0, "b"), (1, 1, "c")], "doc int, pos int, term string")
     vocab = N.build_vocab(df, ["doc", "pos"])
