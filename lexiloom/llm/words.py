@@ -43,6 +43,11 @@ def _byte_letters() -> dict[int, str]:
 _BYTE_LETTERS = _byte_letters()
 
 
+# Letters and digits whose composed and lower-case form is one letter or digit again. Others, such as a
+# capital I with a dot, turn into a letter and a mark, which belongs to the comma or stop behind it.
+_BEFORE_STOP = r"[A-Za-z0-9\x{c0}-\x{d6}\x{d8}-\x{f6}\x{f8}-\x{ff}]"
+
+
 def _fewer_forms(texts: pa.Array) -> pa.Array:
     """Texts with the same ids but fewer different words: lower-case letters, and a
     comma or stop that ends a word set apart.
@@ -52,7 +57,7 @@ def _fewer_forms(texts: pa.Array) -> pa.Array:
     of one case only, are left alone.
     """
     delicate = pc.match_substring_regex(texts, r"<\||\p{M}")
-    apart = pc.replace_substring_regex(pc.ascii_lower(texts), r"([\p{L}\p{N}])([.,])(\s|$)", r"\1 \2\3")
+    apart = pc.replace_substring_regex(pc.ascii_lower(texts), rf"({_BEFORE_STOP})([.,])(\s|$)", r"\1 \2\3")
     return pc.if_else(delicate, texts, apart)
 
 

@@ -3,6 +3,8 @@
 import datetime
 import hashlib
 import random
+import sys
+import unicodedata
 from collections import Counter
 
 import numpy as np
@@ -248,6 +250,27 @@ def test_words_equal_whole_texts(tokenizer):
     assert encoded(words.WordEncoder(VOCABULARY), []) == []
 
 
+def test_every_letter_before_a_stop(tokenizer):
+    """Letters that lower case or composing turns into a letter and a mark, too."""
+    signs = (chr(c) for c in range(sys.maxunicode + 1))
+    texts = [f"{c} a{c}. {c}, b{c} {c}" for c in signs if unicodedata.category(c)[0] in "LN"]
+    assert len(texts) > 100_000
+    encoder = words.WordEncoder(VOCABULARY)
+    for begin in range(0, len(texts), 20_000):
+        some = texts[begin : begin + 20_000]
+        want = [e.ids + [1] for e in tokenizer.encode_batch_fast(some, add_special_tokens=False)]
+        assert encoded(encoder, some) == want
+
+
+def test_mixed_scripts_encode_as_whole_texts(tokenizer):
+    rng = random.Random(8)
+    pool = list("abcXYZ09.,.,'  \n<|>") * 8 + [chr(rng.randint(0xA0, 0x2FFF)) for _ in range(300)]
+    pool += ["\u0130", "\u0301", "\u030c", "J", "<|endoftext|>", "<|ENDOFTEXT|>", "'s", "'LL"] * 4
+    texts = ["".join(rng.choice(pool) for _ in range(rng.randint(0, 40))) for _ in range(20_000)]
+    want = [e.ids + [1] for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    assert encoded(words.WordEncoder(VOCABULARY), texts) == want
+
+
 def test_slices_of_a_batch_are_encoded(tokenizer):
     texts = [t or "" for _, t, _ in ROWS]
     batch = pa.RecordBatch.from_arrays([pa.array(texts)], ["text"])
