@@ -54,12 +54,7 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     if not n:
         return np.zeros(0, np.uint64), np.zeros(0, np.uint32), np.zeros(0, np.uint64)
     choice = _choices(ids)
-    after = (np.arange(n) + COUNTS[choice]).tolist()
-    at, begins = 0, []
-    while at < n:
-        begins.append(at)
-        at = after[at]
-    begins = np.array(begins)
+    begins = _begins(COUNTS[choice], n)
     selector = choice[begins]
     words = selector.astype(np.uint64) << np.uint64(60)
     for s in np.unique(selector).tolist():
@@ -73,6 +68,21 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return words, starts, ids[begins[selector == ESCAPE]].astype(np.uint64)
 
 
+def _begins(counts: np.ndarray, n: int) -> np.ndarray:
+    """Places at which a word begins. No word crosses runs, so all runs are walked
+    at once: step k finds the k-th word of every run that has one."""
+    at = np.arange(0, n, RUN)
+    ends = np.minimum(at + RUN, n)
+    begins = np.zeros(n, bool)
+    while len(at):
+        begins[at] = True
+        at = at + counts[at]
+        left = at < ends
+        if not left.all():
+            at, ends = at[left], ends[left]
+    return np.flatnonzero(begins)
+
+
 def _choices(ids: np.ndarray) -> np.ndarray:
     """For every place the selector that packs most ids into a word that begins there.
 

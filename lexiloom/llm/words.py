@@ -91,7 +91,7 @@ class WordEncoder:
         texts = texts.cast(pa.large_string()).take(pa.array(np.arange(len(texts))))
         split = pc.ascii_split_whitespace(_fewer_forms(texts))
         flat = pc.list_flatten(split).dictionary_encode()
-        coded = self._words(flat.dictionary.to_pylist())
+        coded = self._words(flat.dictionary.to_numpy(zero_copy_only=False).tolist())
         _lately[self.path] = self.known
         coded.append(END_ID.to_bytes(4, "little"))  # the end id is one more word of every text
         offsets = np.cumsum(np.fromiter(map(len, coded), np.int64, len(coded)) // 4)
