@@ -5,6 +5,7 @@ python tests/compare.py [sf_dir] [name ...]
 
 from __future__ import annotations
 
+import datetime
 import os
 import sys
 import time
@@ -30,7 +31,12 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
 
 
 def tidy(df: pd.DataFrame) -> pd.DataFrame:
-    df = df[sorted(df.columns)]
+    df = df[sorted(df.columns)].copy()
+    for c in df.columns:
+        held = df[c].dropna()
+        # Spark's dates arrive as Python objects, DuckDB's as timestamps.
+        if df[c].dtype == object and len(held) and held.map(lambda v: isinstance(v, datetime.date)).all():
+            df[c] = pd.to_datetime(df[c])
     return df.sort_values(list(df.columns), na_position="first", kind="stable").reset_index(drop=True)
 
 
