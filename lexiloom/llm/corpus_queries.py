@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexiloom.llm import (
+    alignment,
+    best_fit,
     exact_dedup,
     mixing,
     packing,
@@ -169,3 +171,14 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_simhash")
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.near_duplicates(documents(spark, sf_dir))
+
+
+@query("op11_best_fit")
+def op11_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return best_fit.pack(documents(spark, sf_dir), tokenizer_path(VOCABULARY))
+
+
+@query("op12_alignment")
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a, b = tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model")
+    return alignment.align(documents(spark, sf_dir), a, b)[0]
