@@ -17,6 +17,7 @@ from lexiloom.llm import (
     quality_rules,
     secrets_scan,
     simhash_dedup,
+    spelling,
     suffix_dedup,
     token_files,
     url_filter,
@@ -182,3 +183,8 @@ def op11_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     a, b = tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model")
     return alignment.align(documents(spark, sf_dir), a, b)[0]
+
+
+@query("op13_spelling")
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(documents(spark, sf_dir))
