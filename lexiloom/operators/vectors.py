@@ -22,7 +22,7 @@ QUERY_ROWS = 512  # rows of a block scored at once: 512 x 8192 doubles are 32 MB
 DIGITS = 12  # similarities that agree to twelve decimals count as ties
 
 
-def _rows(vectors: pd.Series) -> np.ndarray:
+def unit_rows(vectors: pd.Series) -> np.ndarray:
     m = np.stack([np.asarray(v, dtype=np.float64) for v in vectors])
     size = np.linalg.norm(m, axis=1, keepdims=True)
     return np.divide(m, size, out=np.zeros_like(m), where=size > 0)
@@ -36,11 +36,11 @@ def _block_top(k: int, exclude_self: bool):
         if len(queries) and len(table):
             # Names in order, so that a stable choice of the largest prefers the smaller name.
             table = table.sort_values("tword", kind="stable")
-            names, unit_table = table["tword"].to_numpy(), _rows(table["tvec"])
+            names, unit_table = table["tword"].to_numpy(), unit_rows(table["tvec"])
             for lo in range(0, len(queries), QUERY_ROWS):
                 part = queries.iloc[lo : lo + QUERY_ROWS]
                 words = part["qword"].to_numpy()
-                sims = np.round(_rows(part["qvec"]) @ unit_table.T, DIGITS)
+                sims = np.round(unit_rows(part["qvec"]) @ unit_table.T, DIGITS)
                 if exclude_self:
                     at = np.searchsorted(names, words)
                     mine = np.flatnonzero((at < len(names)) & (names[np.minimum(at, len(names) - 1)] == words))

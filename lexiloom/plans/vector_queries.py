@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from lexiloom.functions import vectors as FV
 from lexiloom.operators import vectors as V
+from lexiloom.operators.nearest import nearest_in_cells
 from lexiloom.operators.ordered import positions
 from lexiloom.operators.skew import spread_join
 from lexiloom.plans.registry import query, table
@@ -107,6 +108,14 @@ def _similar(spark, sf):
     )
 
 
+@query("nearest_in_cells")
+def _nearest_in_cells(spark, sf):
+    """Every hundredth vector against all, through the inverted file: approximate, so without SQL."""
+    table, words = id_vectors(spark, sf), F.col("word")
+    found = nearest_in_cells(table.where(words % 100 == 0), table, 10)
+    return found.select(words.alias("vec_id"), F.col("rank").cast("bigint").alias("rank"), F.col("other").alias("other_id"), F.round("sim", 6).alias("sim"))
+
+
 def _round_sql(name: str, previous: str) -> str:
     """One smoothing round in long form (id, dimension, value)."""
     return f"""

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from lexiloom.functions import vectors as FV
 from lexiloom.operators import bitext as B
 from lexiloom.operators import score as H
+from lexiloom.operators import nearest
 from lexiloom.operators import vectors as V
 
 
@@ -72,6 +73,51 @@ def test_words_of_empty_buckets_are_searched_exactly(spark, random_vectors):
     assert sorted((r.word, r["rank"], r.other, r.sim) for r in V.similar_in_buckets(t, t, 6, 5, tables=1, bits=30).collect()) == exact
 
 
+def found_in(df):
+    return {(r.word, r["rank"]): (r.other, r.sim) for r in df.collect()}
+
+
+def test_inverted_file_on_the_embeddings(spark):
+    """Recall at the defaults on vectors without structure, with few exact comparisons."""
+    t = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").select(F.col("vec_id").alias("word"), F.col("embedding").alias("vec"))
+    queries = t.where(F.col("word") % 10 == 0)
+    exact = V.most_similar(queries, t, 10).collect()
+    got = nearest.nearest_in_cells(queries, t, 10).collect()
+    pairs = {(r.word, r.other): r.sim for r in exact}
+    shared = [(r.word, r.other) for r in got if (r.word, r.other) in pairs]
+    assert len(got) == len(exact) and len(shared) >= 0.9 * len(exact)
+    assert all(math.isclose(r.sim, pairs[r.word, r.other], abs_tol=1e-9) for r in got if (r.word, r.other) in pairs)
+    assert 3 * 10 <= 0.1 * t.count()  # rerank * k exact comparisons per query word
+
+
+@pytest.mark.parametrize("block", [7, 8192])
+def test_inverted_file_on_clusters(spark, block):
+    """Few cells are enough where vectors are clustered; all of them give the exact answer."""
+    rng = np.random.default_rng(2)
+    centres = rng.normal(size=(12, 8))
+    vecs = {f"w{i:03d}": centres[min(i % 18, 11)] + 0.2 * rng.normal(size=8) for i in range(240)}
+    vecs["zero"] = np.zeros(8)
+    t = table(spark, vecs)
+    exact = found_in(V.most_similar(t, t, 5))
+    every = found_in(nearest.nearest_in_cells(t, t, 5, cells=10, probe=1.0, rerank=50, rows_per_block=block))
+    assert {k: v[0] for k, v in every.items() if k[0] != "zero"} == {k: v[0] for k, v in exact.items() if k[0] != "zero"}
+    few = found_in(nearest.nearest_in_cells(t, t, 5, cells=24, probe=0.2, rows_per_block=block))
+    assert set(few) == set(exact) and sum(few[k][0] == exact[k][0] for k in exact) >= 0.9 * len(exact)
+
+
+def test_inverted_file_with_awkward_tables(spark, random_vectors):
+    t = table(spark, random_vectors)
+    none = t.where("false")
+    assert nearest.nearest_in_cells(t, none, 3).count() == 0 and nearest.nearest_in_cells(none, t, 3).count() == 0
+    holes = t.unionByName(t.limit(1).select(F.lit("hole").alias("word"), F.lit(None).cast(t.schema["vec"].dataType).alias("vec")))
+    # One tiny cell per query: too short a list is completed by the exact search.
+    exact = found_in(V.most_similar(t, t, 4))
+    got = found_in(nearest.nearest_in_cells(holes, holes, 4, cells=len(random_vectors), probe=0.001))
+    assert {k: v[0] for k, v in got.items()} == {k: v[0] for k, v in exact.items()}
+    own = found_in(nearest.nearest_in_cells(t, t, 1, exclude_self=False))
+    assert {k[0]: v[0] for k, v in own.items()} == {w: w for w in random_vectors}
+
+
 def brute_retrofit(vecs, edges, iters, alpha, beta, published=False):
     cur = dict(vecs)
     for _ in range(iters):
