@@ -42,7 +42,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from lexiloom.llm.store import empty_if_null, map_arrow, slices, stored
 
-BLOCK_BYTES = 8 << 20  # text whose different chunks are encoded together
+BLOCK_BYTES = 4 << 20  # text whose different chunks are encoded together
 JOINED = 1 << 16  # characters of chunks sent to a tokenizer at once
 # Latin letters and signs, which are of one kind in any version of Unicode.
 _RE2_LATIN = r"!-~\x{c0}-\x{ff}"
