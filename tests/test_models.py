@@ -4,9 +4,11 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from lexiloom.operators import long_lines
 from lexiloom.operators import ngrams as N
 from lexiloom.operators import segment as S
 from lexiloom.operators import skew
+from lexiloom.operators.membership import membership
 from lexiloom.operators.ordered import positions, running_totals
 from lexiloom.operators.skew import deal, hot_keys, spread_join
 
@@ -108,22 +110,34 @@ def test_pairs_of_a_hot_word_use_many_parts(spark, monkeypatch, hot):
     pairs = spark.createDataFrame(rows, "prev string, word string")
     parts = {}
 
-    def watched(left, right, on, how, spread, hot):
-        dealt = deal(left, hot, on, spread)
-        parts[tuple(on)] = dealt.select("__part").distinct().count()
-        return spread_join(left, right, on, how, spread, hot=hot)
+    def watched(left, right, on, how, spread):
+        hot = hot_keys(left.select(*on), on, 10)
+        parts[tuple(on)] = deal(left, hot, on, spread).select("__part").distinct().count()
+        return spread_join(left, right, on, how, spread, rows_per_task=10)
 
-    monkeypatch.setattr(N, "hot_keys", lambda df, on: hot_keys(df, on, 10))
-    monkeypatch.setattr(N, "spread_join", watched)
+    # As for tables too large to broadcast.
+    monkeypatch.setattr(skew, "is_small", lambda df: False)
+    monkeypatch.setattr(skew, "spread_join", watched)
     bigrams = spark.createDataFrame([("ro ck", 2)], "gram string, cnt bigint")
     got = N.bigram_conditional(pairs, counts(spark), bigrams, 100, N.PLAIN, spread=[F.lit(0)]).collect()
-    assert parts[(hot,)] > 1 and parts[("prev", "word")] == 1
+    assert parts[(hot,)] > 1
     p1 = {"big": 0.1, "ck": 0.04}
     want = {(p, w): (0.5 if p == "ro" else p1.get(w, 0.01), p1.get(w, 0.01)) for p, w in rows}
     assert len(got) == len(rows)
     assert all(math.isclose(x, y) for r in got for x, y in zip((r.cond, r.p1), want[r.prev, r.word]))
 
 
+def test_pairs_keep_their_rows_and_columns(spark):
+    rows = [(i, "ro", "ck") for i in range(3)] + [(3, None, "ck"), (4, "ro", None), (5, "x", "y")]
+    pairs = spark.createDataFrame(rows, "id int, prev string, word string")
+    bigrams = spark.createDataFrame([("ro ck", 2)], "gram string, cnt bigint")
+    got = {r.id: (r.prev, r.word, r.cond, r.p1) for r in N.bigram_conditional(pairs, counts(spark), bigrams, 100, N.PLAIN, spread=["id"]).collect()}
+    assert got[0] == got[1] == got[2] == ("ro", "ck", 0.5, 0.04) and got[5] == ("x", "y", 0.01, 0.01) and len(got) == 6
+    plain = pairs.where("id < 3").select("prev", "word")
+    again = N.bigram_conditional(plain, counts(spark), bigrams, 100, N.PLAIN, spread=[F.lit(0)]).collect()
+    assert [(r.prev, r.word, r.cond, r.p1) for r in again] == [("ro", "ck", 0.5, 0.04)] * 3
+
+
 def test_vocab_and_unknown_terms(spark):
     df = spark.createDataFrame([(0, 0, "b"), (0, 1, "a"), (1, 0, "b"), (1, 1, "c")], "doc int, pos int, term string")
     vocab = N.build_vocab(df, ["doc", "pos"])
@@ -204,3 +218,85 @@ def test_positions_keep_null_keys(spark):
     df = spark.createDataFrame([(None, 2), (None, 1), ("a", 1), ("a", 5)], "k string, o int")
     got = {(r.k, r.o): r.pos for r in positions(df, ["k"], ["o"], blocks=3).collect()}
     assert got == {(None, 1): 0, (None, 2): 1, ("a", 1): 0, ("a", 5): 1}
+
+
+# long lines and membership
+
+
+def lines_of(rng, n, size):
+    words = ["a", "ab", "aba", "ba", "bab", "c", "cab", "abc"]
+    return [(f"l{i}", "".join(rng.choice(words + ["x", "yz"]) for _ in range(rng.randint(1, size)))) for i in range(n)]
+
+
+WORDS = [("a", 50), ("ab", 20), ("aba", 9), ("ba", 20), ("bab", 5), ("c", 20), ("cab", 5), ("abc", 4), ("b", 10)]
+
+
+@pytest.mark.parametrize("slab", [4, 7, 64])
+def test_slabs_equal_rows(spark, slab):
+    rng = random.Random(slab)
+    lines = lines_of(rng, 60, 30) + [("empty", ""), ("none", None), ("é", "éabébaé" * 9)]
+    df = spark.createDataFrame(lines, "key string, text string")
+    counted = spark.createDataFrame(WORDS, "gram string, cnt bigint")
+    held = membership(counted.select("gram"))
+    rows = S.segment_unigram(df.where("text IS NOT NULL"), counted, max_len=4)
+    want = {r.key: (r.words, round(r.logprob, 6)) for r in rows.collect() if r.words}
+    for within in (None, held):
+        got = {}
+        for r in sorted(long_lines.segment_slabs(df, counted, max_len=4, slab=slab, within=within).collect(), key=lambda r: (r.key, r.start)):
+            words, score = got.setdefault(r.key, ([], []))
+            assert r.start == sum(map(len, words))
+            words.append(r.word)
+            score.append(r.logprob)
+        assert {k: (w, round(sum(s), 6)) for k, (w, s) in got.items()} == want
+
+
+def test_a_line_of_a_million_characters(spark):
+    rng = random.Random(9)
+    text = "".join(rng.choice(["the", "cat", "sat", "on", "mat", "q", "xx"]) for _ in range(400_000))[:1_000_000]
+    counted = spark.createDataFrame([("the", 9), ("cat", 4), ("sat", 4), ("on", 5), ("mat", 3)], "gram string, cnt bigint")
+    df = spark.createDataFrame([("long", text)], "key string, text string")
+    out = long_lines.segment_slabs(df, counted, max_len=5, slab=65_536)
+    got = sorted((r.start, r.word) for r in out.select("start", "word").collect())
+    assert "".join(w for _, w in got) == text and len(got) > 300_000
+    # The best words of the whole line, from its end, in whole numbers.
+    n, scores = 25, {}
+    for word, count in (("the", 9), ("cat", 4), ("sat", 4), ("on", 5), ("mat", 3)):
+        scores[word] = round(math.log10(count * 3 / (n * len(word))) * 10**9)
+    unseen = [round((-math.log10(n) - 5 * k) * 10**9) for k in range(6)]
+    best, pick = [0] * (len(text) + 5), [0] * len(text)
+    for p in range(len(text) - 1, -1, -1):
+        options = [(scores.get(text[p : p + k], unseen[k]) + best[p + k], -k) for k in range(1, min(5, len(text) - p) + 1)]
+        best[p], pick[p] = max(options)
+    p, want = 0, []
+    while p < len(text):
+        want.append((p, text[p : p - pick[p]]))
+        p -= pick[p]
+    assert got == want
+
+
+def test_membership(spark):
+    keys = spark.createDataFrame([(f"k{i}",) for i in range(3000)] + [(None,), ("k1",)], "k string")
+    held = membership(keys)
+    probe = spark.range(20000).select(F.concat(F.lit("k"), F.col("id").cast("string")).alias("k"))
+    found = probe.where(held.may_hold(F.col("k"))).collect()
+    assert {f"k{i}" for i in range(3000)} <= {r.k for r in found} and len(found) < 3000 + 17000 * 0.02
+    assert membership(keys.limit(0)).may_hold(F.col("k")) is not None
+    assert probe.where(membership(keys.limit(0)).may_hold(F.col("k"))).count() == 0
+
+
+def test_filtered_lattices_and_pairs(spark):
+    """With and without the filters the same words, and fewer edges to look up."""
+    rng = random.Random(3)
+    df = spark.createDataFrame(lines_of(rng, 40, 12), "key string, text string")
+    counted = spark.createDataFrame(WORDS, "gram string, cnt bigint")
+    pairs = spark.createDataFrame([("a ba", 4), ("ab c", 3), ("c ab", 2), ("ba b", 2)], "gram string, cnt bigint")
+    held, held_pairs = membership(counted.select("gram")), membership(pairs.select("gram"))
+    plain = S.segment_bigram(df, counted, pairs, max_len=4).collect()
+    assert sorted(plain) == sorted(S.segment_bigram(df, counted, pairs, max_len=4, within=held, pairs_within=held_pairs).collect())
+    assert S.candidate_words(df, max_len=4, within=held).count() < 0.7 * S.candidate_words(df, max_len=4).count()
+    assert S.candidate_pairs(df, max_len=4, within=held_pairs).count() < 0.3 * S.candidate_pairs(df, max_len=4).count()
+    tokens = df.select(F.split("text", "b").alias("tokens"))
+    both = N.ngram_counts(tokens, (1, 2)).collect()
+    assert sorted(both) == sorted(N.ngram_counts(tokens, 1).collect() + N.ngram_counts(tokens, 2).collect())
+    kept = {r.gram: r.cnt for r in N.ngram_counts(tokens, 1, within=held).collect()}
+    assert all(kept[r.gram] == r.cnt for r in N.ngram_counts(tokens, 1).collect() if r.gram in dict(WORDS))
