@@ -98,22 +98,17 @@ def _markup(spark, sf):
 @query(
     "semichar_features",
     f"""
-    WITH w AS (SELECT DISTINCT term FROM ({token_stream('documents', 'doc_id')})),
-    a AS (SELECT {ALPHABET_SQL} AS al),
-    f AS (
-      SELECT term, strpos(al, substr(term, 1, 1)) - 1 AS ix FROM w, a
-      UNION ALL
-      SELECT term, 99 + strpos(al, ch) AS ix
-      FROM (SELECT term, unnest(regexp_extract_all(substr(term, 2, length(term) - 2), '(?s).')) AS ch
-            FROM w WHERE length(term) > 2), a WHERE strpos(al, ch) > 0
-      UNION ALL
-      SELECT term, 199 + strpos(al, substr(term, length(term), 1)) AS ix FROM w, a
-    ),
-    g AS (SELECT term, ix, count(*) AS n FROM f WHERE ix NOT IN (-1, 199) OR (ix = 199 AND false) GROUP BY 1, 2),
-    s AS (SELECT term, string_agg(ix || ':' || n, ' ' ORDER BY ix) AS features FROM g GROUP BY term)
-    SELECT w.term, coalesce(features, '') AS features,
-           CAST(length(translate(w.term, (SELECT al FROM a), '')) AS BIGINT) AS unknown
-    FROM w LEFT JOIN s USING (term)
+    WITH w AS MATERIALIZED (SELECT DISTINCT term FROM ({token_stream('documents', 'doc_id')})),
+    c AS (SELECT term, unnest(string_split(term, '')) AS ch, unnest(range(1, length(term) + 1)) AS i FROM w),
+    p AS (SELECT term, i, length(term) AS n, strpos({ALPHABET_SQL}, ch) AS k FROM c),
+    f AS (SELECT term, k - 1 AS ix FROM p WHERE i = 1 AND k > 0
+          UNION ALL SELECT term, 99 + k FROM p WHERE 1 < i AND i < n AND k > 0
+          UNION ALL SELECT term, 199 + k FROM p WHERE i = n AND k > 0),
+    g AS (SELECT term, ix, count(*) AS n FROM f GROUP BY term, ix),
+    s AS (SELECT term, string_agg(ix || ':' || n, ' ' ORDER BY ix) AS features FROM g GROUP BY term),
+    u AS (SELECT term, sum(CASE WHEN k = 0 THEN 1 ELSE 0 END) AS unknown FROM p GROUP BY term)
+    SELECT term, coalesce(features, '') AS features, CAST(unknown AS BIGINT) AS unknown
+    FROM u LEFT JOIN s USING (term)
     """,
 )
 def _semichar(spark, sf):
