@@ -190,30 +190,33 @@ def retrofit(
         .join(words.withColumnRenamed("word", "head"), "head", "left_semi")
         .join(words.withColumnRenamed("word", "neighbour"), "neighbour", "left_semi")
     )
-    hot = cut_lineage(hot_keys(graph, ["neighbour"], rows_per_task))
-    dealt = cut_lineage(deal(graph, hot, ["neighbour"], ["head"]))
-    degree = graph.groupBy("head").agg(F.count(F.lit(1)).alias("n")).withColumnRenamed("head", "word")
+    degree = graph.groupBy(F.col("head").alias("word")).agg(F.count(F.lit(1)).alias("n"))
     original = cut_lineage(
         vectors.select("word", doubles(F.col("vec")).alias("vec")).join(degree, "word", "left")
     )
     dim = vector_size(original)
-    moving = original.where(F.col("n").isNotNull())
-    still = original.where(F.col("n").isNull()).select("word", "vec")
     divisor = (alpha + F.col("n") * beta) if published else F.col("n") * (alpha + beta)
+    # A round is one sum per word: its own row, weighted, and one weighted row per neighbour.
+    share = F.coalesce(alpha / divisor, F.lit(1.0))
+    own = cut_lineage(original.select("word", F.transform("vec", lambda x: x * share).alias("vec")))
+    weighted = graph.join(degree.withColumnRenamed("word", "head"), "head").select("neighbour", "head", (beta / divisor).alias("w"))
+    hot = cut_lineage(hot_keys(graph, ["neighbour"], rows_per_task))
+    keys = ["neighbour"]
+    if not hot.isEmpty():
+        keys = ["neighbour", "__part"]
+        weighted = deal(weighted, hot, ["neighbour"], ["head"])
+    # Links stay laid out by the neighbour, and the sums of a round by the word: the only
+    # exchange of a round is that of the sums.
+    parts = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    links = cut_lineage(weighted.repartition(parts, *keys))
     current = original.select("word", "vec")
     for i in range(1, iters + 1):
-        sources = repeat(current.withColumnRenamed("word", "neighbour"), hot, ["neighbour"])
-        sums = (
-            dealt.join(sources, ["neighbour", "__part"])
-            .groupBy("head")
-            .agg(*_sum_columns("vec", dim))
-            .select(F.col("head").alias("word"), _sum_array(dim).alias("__sum"))
-        )
-        moved = moving.join(sums, "word").select(
-            "word",
-            F.zip_with("vec", "__sum", lambda q, s: (alpha * q + beta * s) / divisor).alias("vec"),
-        )
-        current = moved.unionByName(still)
+        sources = current.withColumnRenamed("word", "neighbour")
+        if len(keys) > 1:
+            sources = repeat(sources, hot, ["neighbour"])
+        w = F.col("w")
+        sent = links.join(sources, keys).select(F.col("head").alias("word"), F.transform("vec", lambda x: x * w).alias("vec"))
+        current = sent.unionByName(own).groupBy("word").agg(*_sum_columns("vec", dim)).select("word", _sum_array(dim).alias("vec"))
         if i % cut_every == 0 and i < iters:
             current = cut_lineage(current)
     return current
