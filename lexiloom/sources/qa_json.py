@@ -5,10 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-SQUAD_SCHEMA = (
-    "data array<struct<paragraphs: array<struct<context: string, qas: array<struct<id: string, question: string, "
-    "is_impossible: boolean, answers: array<struct<text: string, answer_start: int>>>>>>>>"
+from lexiloom.sources.json_ranges import array_items, object_entries
+
+ARTICLE = (
+    "struct<paragraphs: array<struct<context: string, qas: array<struct<id: string, question: string, "
+    "is_impossible: boolean, answers: array<struct<text: string, answer_start: int>>>>>>>"
 )
+SQUAD_SCHEMA = f"data array<{ARTICLE}>"
 _TOKENS = "struct<start_token: int, end_token: int>"
 NQ_SCHEMA = (
     "example_id string, question_text string, document_text string, "
@@ -21,10 +24,13 @@ KINDS = {"nbest": f"map<string, {NBEST_ENTRY}>", "best": "map<string, string>",
 def read_squad(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
     """One row per question: (qid, question, context, answers, is_impossible).
 
-    A file is one JSON object; with ``lines`` every line is one.
+    A file is one JSON object, of any size: its articles are read by many tasks.
+    With ``lines`` every line is an object.
     """
-    reader = spark.read.schema(SQUAD_SCHEMA).option("mode", "FAILFAST")
-    articles = reader.option("multiLine", str(not lines).lower()).json(path).select(F.explode("data").alias("a"))
+    if lines:
+        articles = spark.read.schema(SQUAD_SCHEMA).option("mode", "FAILFAST").json(path).select(F.explode("data").alias("a"))
+    else:
+        articles = array_items(spark, path, "data").select(F.from_json("text", ARTICLE, {"mode": "FAILFAST"}).alias("a"))
     paragraphs = articles.select(F.explode("a.paragraphs").alias("p"))
     questions = paragraphs.select("p.context", F.explode("p.qas").alias("q"))
     return questions.select(
@@ -46,11 +52,15 @@ def read_predictions(spark: SparkSession, path: str, kind: str = "nbest", lines:
 
     ``kind`` is ``nbest`` (model, qid, rank, text, probability, start_logit,
     end_logit), ``best`` (model, qid, text) or ``na_prob`` (model, qid, na_prob).
-    The model is the name up to the first underscore, ``run`` the whole name. A file is one object; with ``lines`` every line is one, as
-    ``write_predictions`` leaves them.
+    The model is the name up to the first underscore, ``run`` the whole name. A file is
+    one object, of any size: its entries are read by many tasks. With ``lines`` every line
+    is an object, as ``write_predictions`` leaves them.
     """
-    text = spark.read.text(f"{path}/*.json", wholetext=not lines)
-    name = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)\.json(?:/[^/]+)?$", 1)
+    if lines:
+        text = spark.read.text(f"{path}/*.json").select(F.col("_metadata.file_path").alias("file"), "value")
+    else:
+        text = object_entries(spark, f"{path}/*.json").select("file", F.concat(F.lit("{"), "text", F.lit("}")).alias("value"))
+    name = F.regexp_extract("file", r"([^/]+)\.json(?:/[^/]+)?$", 1)
     entries = text.select(
         F.substring_index(name, "_", 1).alias("model"),
         name.alias("run"),

@@ -1,5 +1,6 @@
 import gzip
 import json
+import random
 import re
 
 import pytest
@@ -115,3 +116,65 @@ def test_vectors_roundtrip(spark, tmp_path):
     assert spark.read.text(str(tmp_path / "v")).first()[0] == "a 3.0000 4.0000 "
     vec = tables.read_vectors(spark, str(tmp_path / "v")).select(F.get("vec", 0)).first()[0]
     assert round(vec, 6) == 0.6
+
+
+# one JSON object read by many tasks
+
+NASTY = ['a,b', '"', '\\', '\\"', '}', '{[', '],"x":[', '\\u0041,', 'é,日本', '\n,\t', ',', ',,', '', '\\\\",', "'", '{"qid": [1, 2]}']
+
+
+def nasty(rng, n):
+    return "".join(rng.choice(NASTY) for _ in range(rng.randint(0, n)))
+
+
+@pytest.fixture
+def tiny_ranges(spark):
+    """Files are read in ranges of a few bytes, so borders fall into strings, escapes and letters."""
+    keys = {"spark.sql.files.maxPartitionBytes": "97", "spark.sql.files.openCostInBytes": "0"}
+    before = {k: spark.conf.get(k) for k in keys}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("indent", [None, 1])
+def test_prediction_objects_in_ranges(spark, tmp_path, tiny_ranges, indent):
+    rng = random.Random(5)
+    want = {}
+    for model in ("a_1", "b_2", "none_3"):
+        found = {f"q{i}{nasty(rng, 2)}": nasty(rng, 6) for i in range(40)} if model != "none_3" else {}
+        want |= {(model, q): t for q, t in found.items()}
+        (tmp_path / f"{model}.json").write_text(json.dumps(found, indent=indent, ensure_ascii=bool(indent)))
+    text = qa_json.object_entries(spark, str(tmp_path))
+    assert spark.read.option("lineSep", ",").text(str(tmp_path)).rdd.getNumPartitions() > 20
+    assert text.count() == len(want)
+    got = qa_json.read_predictions(spark, str(tmp_path), "best").collect()
+    assert {(r.run, r.qid): r.text for r in got} == want and len(got) == len(want)
+
+
+def test_nbest_objects_in_ranges(spark, tmp_path, tiny_ranges):
+    rng = random.Random(6)
+    entry = lambda: {"text": nasty(rng, 4), "probability": rng.random(), "start_logit": 1.5, "end_logit": -2}
+    found = {f"q{i}": [entry() for _ in range(rng.randint(0, 4))] for i in range(25)}
+    (tmp_path / "m_nbest.json").write_text(json.dumps(found))
+    got = {(r.qid, r["rank"]): (r.text, r.probability) for r in qa_json.read_predictions(spark, str(tmp_path)).collect()}
+    assert got == {(q, k + 1): (e["text"], e["probability"]) for q, es in found.items() for k, e in enumerate(es)}
+
+
+@pytest.mark.parametrize("indent", [None, 2])
+def test_articles_in_ranges(spark, tmp_path, tiny_ranges, indent):
+    rng = random.Random(7)
+    question = lambda i: {"id": f"q{i}", "question": nasty(rng, 3), "answers": [{"text": nasty(rng, 2), "answer_start": i}] * (i % 3)}
+    articles = [
+        {"title": nasty(rng, 2), "paragraphs": [{"context": nasty(rng, 8), "qas": [question(10 * a + p) for _ in range(a % 3)]} for p in range(a % 4)]}
+        for a in range(12)
+    ]
+    whole = {"version": "v,1", "meta": [1, {"data": [2, 3]}, "x"], "data": articles, "more": {"a": [1, 2], "b": "]}"}, "n": 4}
+    for name, held in (("a", whole), ("b", {"data": articles[:3]}), ("c", {"data": []})):
+        (tmp_path / f"{name}.json").write_text(json.dumps(held, indent=indent))
+    one_task = spark.read.schema(qa_json.SQUAD_SCHEMA).option("multiLine", "true").json(str(tmp_path)).selectExpr("inline(data)")
+    want = one_task.selectExpr("explode(paragraphs) AS p").selectExpr("p.context", "explode(p.qas) AS q").selectExpr("q.id", "q.question", "context", "q.answers")
+    got = qa_json.read_squad(spark, str(tmp_path)).select("qid", "question", "context", "answers")
+    assert sorted(map(str, (tuple(r) for r in got.collect()))) == sorted(map(str, (tuple(r) for r in want.collect())))
