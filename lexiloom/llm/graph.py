@@ -1,8 +1,8 @@
 """Connected components of an edge list, by alternating large and small stars.
 
 Each round is two shuffles of the edges with sums per node, never a neighbour
-list: a hub with a third of all edges is only a minimum and a join that Spark
-may split. Edges shrink to one star per component, usually in a few rounds.
+list: a hub with a third of all edges is only a minimum and a join whose rows
+are dealt over several tasks. Edges shrink to one star per component, usually in a few rounds.
 """
 
 from __future__ import annotations
@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexiloom.llm.store import stored
+from lexiloom.operators.skew import spread_join
 
 
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
@@ -36,11 +37,11 @@ def _large_star(edges: DataFrame) -> DataFrame:
     """Link every larger neighbour of a node to the node's smallest neighbour or itself."""
     both = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    return both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+    return spread_join(both.where("v > u"), least, ["u"], "inner", ["v"]).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Link every smaller neighbour of a node, and the node, to the smallest of them."""
     least = edges.groupBy("u").agg(F.min("v").alias("m"))
-    linked = edges.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    linked = spread_join(edges, least, ["u"], "inner", ["v"]).select(F.col("v").alias("u"), F.col("m").alias("v"))
     return linked.unionByName(least.select("u", F.col("m").alias("v"))).where("u <> v").distinct()

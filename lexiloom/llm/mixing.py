@@ -14,17 +14,20 @@ either side, level by level. Blocks of a source then fill its shard quotas in
 permuted order, so draws are disjoint, and rows are shuffled inside their shard
 by a hash. Randomness is a hash of values and a seed: reruns agree.
 
-The block table holds ``shards * blocks_per_shard`` rows plus one per source,
-whatever the size of the corpus; documents meet it by (source, block).
+The number of shards follows the bytes of text, so a shard stays of a size that
+one task sorts. The block table holds ``shards * blocks_per_shard`` rows plus one
+per source; documents meet it by (source, block).
 
 Defined results: a null or empty text has size 0 and is taken once if its source
 takes every document once, else with its block. A null source is a source of its
-own, last in order. Repeated rows are separate rows that share their draw.
-Extra columns pass through; an empty table gives an empty table.
+own, last in order. Repeated rows are separate rows that share their draw. A very
+long text is one row of one shard. Extra columns pass through; an empty table gives
+an empty table.
 """
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -35,6 +38,8 @@ from lexiloom.operators.skew import is_small
 
 WEIGHTS = (5, 2, 1)
 CELL_DOCS = 256
+SHARD_BYTES = 256 << 20  # text of a shard, at most, which one task sorts
+LEAST_SHARDS = 64
 
 
 def n_words(text: Column) -> Column:
@@ -146,20 +151,36 @@ def located(rows: DataFrame, plan: DataFrame) -> DataFrame:
     )
 
 
+def _bytes(text: Column) -> Column:
+    return F.coalesce(F.octet_length(text.cast("string")), F.lit(0)).alias("bytes")
+
+
 def keyed(docs: DataFrame, id_col: str, source_col: str, seed: int) -> list[Column]:
     return [F.col(source_col).cast("string").alias("src"), F.xxhash64(F.col(id_col), F.lit(seed)).alias("h")]
 
 
+def shards_for(rows: DataFrame, share: float) -> int:
+    """The power of two that brings a shard of the mix to ``SHARD_BYTES`` of text at most, ``LEAST_SHARDS`` or more."""
+    held = rows.agg(F.coalesce(F.sum("bytes"), F.lit(0)).alias("n")).first()["n"]
+    return max(LEAST_SHARDS, 1 << max(0, math.ceil(held * share / SHARD_BYTES) - 1).bit_length())
+
+
 def draw(
     rows: DataFrame,
     weights: tuple[int, ...] = WEIGHTS,
     share: float = 1.5,
     cap: float = 2.0,
-    shards: int = 64,
+    shards: int | None = None,
     blocks_per_shard: int = 16,
     seed: int = 7,
 ) -> Draw:
-    """Decide the mix of ``rows`` (src, h, size), a small table that is read several times."""
+    """Decide the mix of ``rows`` (src, h, size, bytes), a small table that is read several times.
+
+    Without ``shards`` there are as many as bring a shard to about ``SHARD_BYTES`` of
+    text, so a shard does not grow with the corpus. The tree works on its blocks, a row
+    each; its first levels sort that table in few tasks.
+    """
+    shards = shards or shards_for(rows, share)
     if shards & (shards - 1) or shards < 1:
         raise ValueError("shards must be a power of two")
     sizes = rows.groupBy("src").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("docs"))
@@ -234,7 +255,7 @@ def taken_words(
 ) -> DataFrame:
     """One row per document: id, size, source_size, target, taken words, copies and block,
     with the shard and the place in it of every copy, as in ``mix``."""
-    rows = stored(docs.select(F.col(id_col).alias("id"), *keyed(docs, id_col, source_col, seed), n_words(F.col(text_col)).alias("size")))
+    rows = stored(docs.select(F.col(id_col).alias("id"), *keyed(docs, id_col, source_col, seed), n_words(F.col(text_col)).alias("size"), _bytes(F.col(text_col))))
     plan = draw(rows, seed=seed, **how)
     drawn = plan.shards.groupBy("rank", "block").agg(F.array_sort(F.collect_list(F.struct("copy", "shard"))).alias("drawn"))
     placed = plan.annotate(rows).join(checked(stored(drawn)), ["rank", "block"], "left").withColumn(
@@ -251,11 +272,11 @@ def mix(
     docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", seed: int = 7, **how
 ) -> DataFrame:
     """Whole rows of ``docs``, repeated as drawn, with ``shard`` and ``place`` added
-    (in place of columns of these names). Every partition holds whole shards, each
+    (in place of columns of these names, in any case). Every partition holds whole shards, each
     in the order of its places."""
-    rows = stored(docs.select(*keyed(docs, id_col, source_col, seed), n_words(F.col(text_col)).alias("size")))
+    rows = stored(docs.select(*keyed(docs, id_col, source_col, seed), n_words(F.col(text_col)).alias("size"), _bytes(F.col(text_col))))
     plan = draw(rows, seed=seed, **how)
-    names = [c for c in docs.columns if c not in ("shard", "place")]
+    names = [c for c in docs.columns if c.lower() not in ("shard", "place")]
     whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), *keyed(docs, id_col, source_col, seed))
     copies = plan.annotate(whole).where("copies > 0").select(
         "row", "h", "rank", "block", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("copy")

@@ -6,22 +6,23 @@ of matches. A posting list of a single (position, byte) would hold 1/256 of the
 corpus, and counting matches over such lists emits nearly all pairs. So the
 index is kept at the level that counting would have to reach: a posting is the
 joint value of four positions, and a pair that shares m bytes meets in C(m, 4)
-of the 70 postings. Inside a posting the shared bytes are tallied per pair, pairs
-below the minimum are dropped, and the rest is verified by counting bits.
+of the 70 postings. Meeting in one is having the minimum, so no pair below it is
+ever made and no count is left to filter by; pairs are verified by counting bits.
 
 Only distinct fingerprints are indexed, so copies never meet each other. Members
 of a posting are linked by a spanning forest of its verified links, not by all
 pairs: components stay the same. A posting with more than ``DENSE`` members is
-not compared pair by pair: its members agree in four bytes, so they may only
-differ in the 32 other bits, and two of them are within four bits exactly if
-some value is within two bits of both. Each member is sent to the 529 values
-within two bits and linked to the smallest member there, which is linear in the
-posting and spread over all tasks.
+not compared pair by pair: two fingerprints are within four bits exactly if some
+value is within two bits of both. Each member of any such posting is sent, once,
+to the 2,081 values within two bits and linked to the smallest member there, which
+is linear in the members and spread over all tasks.
 
 Defined results: null counts as empty; a text without words has fingerprint 0; a
 text of one to three words has its whole word sequence as the only shingle. Null
-ids take part but are never the smallest id if there is another. Repeated rows
-fall into one component. Extra columns pass through.
+ids take part but are never the smallest id if there is another. Very long texts
+are hashed a stretch of shingles at a time. Repeated rows fall into one component.
+``near_duplicates`` returns its own columns only, ``drop_near_duplicates`` all
+columns of the rows it keeps. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -93,8 +94,7 @@ def _roots(fps: np.ndarray) -> np.ndarray:
     """Smallest position linked to each member of one posting, by verified links."""
     x = fps.view(np.uint64)
     diff = x[:, None] ^ x[None, :]
-    shared = (diff.view(np.uint8).reshape(len(x), len(x), 8) == 0).sum(axis=2)
-    linked = (shared >= MIN_BYTES) & (np.bitwise_count(diff) <= MAX_BITS)
+    linked = np.bitwise_count(diff) <= MAX_BITS
     root = np.arange(len(x))
     while True:  # the smallest label among the neighbours, until nothing changes
         now = np.where(linked, root[None, :], len(x)).min(axis=1)
@@ -107,8 +107,8 @@ def _roots(fps: np.ndarray) -> np.ndarray:
 def posting_links(postings: Iterator[pa.RecordBatch], dense: int = DENSE) -> Iterator[pa.RecordBatch]:
     """Links (u, v, hot) of the postings in batches sorted by (mask, key).
 
-    hot = true marks the member ``u`` of a posting of more than ``dense`` members,
-    with its mask in ``v``, for the linear path. At most ``dense`` members of an
+    hot = true marks the member ``u`` of a posting of more than ``dense`` members (``v`` is
+    its mask), for the linear path. At most ``dense`` members of an
     open posting are held back between batches.
     """
 
@@ -120,8 +120,7 @@ def posting_links(postings: Iterator[pa.RecordBatch], dense: int = DENSE) -> Ite
         two = starts[sizes == 2]
         a, b = fps[two], fps[two + 1]
         diff = (a ^ b).view(np.uint64)
-        shared = (diff.view(np.uint8).reshape(-1, 8) == 0).sum(axis=1)
-        near = (shared >= MIN_BYTES) & (np.bitwise_count(diff) <= MAX_BITS)
+        near = np.bitwise_count(diff) <= MAX_BITS
         yield emit(a[near], b[near], False)
         for s, n in zip(starts[sizes > 2].tolist(), sizes[sizes > 2].tolist()):
             own = fps[s : s + n]
@@ -175,26 +174,21 @@ def posting_links(postings: Iterator[pa.RecordBatch], dense: int = DENSE) -> Ite
 
 
 def _midpoint_links(hot: DataFrame) -> DataFrame:
-    """Links inside the postings of many members: members within two bits of the same value.
+    """Links between the members (u) of crowded postings: members within two bits of the same value.
 
-    ``hot`` has u (the member) and v (the posting's mask).
+    A member meets 2,081 values, however many of its postings are crowded: itself, and it
+    with one or two of 64 bits flipped. Two members four bits apart share a value halfway.
     """
-    ones = F.filter(
-        F.array(*[F.lit((1 << i) - (1 << 64) if i == 63 else 1 << i) for i in range(64)]),
-        lambda b: b.bitwiseAND(F.col("v")) == 0,
-    )
+    bits = F.array(*[F.lit((1 << i) - (1 << 64) if i == 63 else 1 << i) for i in range(64)])
     flips = F.concat(
         F.array(F.lit(0).cast("bigint")),
-        F.col("ones"),
-        F.flatten(
-            F.transform("ones", lambda b, i: F.transform(F.slice(F.col("ones"), i + 2, F.size("ones")), lambda c: b.bitwiseXOR(c)))
-        ),
+        F.col("bits"),
+        F.flatten(F.transform("bits", lambda b, i: F.transform(F.slice(F.col("bits"), i + 2, F.size("bits")), lambda c: b.bitwiseXOR(c)))),
     )
-    near = hot.select("u", "v", ones.alias("ones")).select(
-        "u", "v", F.explode(flips).alias("flip")
-    ).select("u", "v", F.col("u").bitwiseXOR(F.col("flip")).alias("mid"))
-    least = near.groupBy("v", "mid").agg(F.min("u").alias("m"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    return near.join(least, ["v", "mid"]).where("u <> m").select("u", F.col("m").alias("v")).distinct()
+    members = hot.select("u").distinct().select("u", bits.alias("bits"))
+    near = members.select("u", F.explode(flips).alias("flip")).select("u", F.col("u").bitwiseXOR(F.col("flip")).alias("mid"))
+    least = near.groupBy("mid").agg(F.min("u").alias("m"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    return near.join(least, "mid").where("u <> m").select("u", F.col("m").alias("v")).distinct()
 
 
 def links(fps: DataFrame, dense: int = DENSE) -> DataFrame:
@@ -206,7 +200,7 @@ def links(fps: DataFrame, dense: int = DENSE) -> DataFrame:
     n = partitions(fps)
     dealt = indexed.repartition(n, "mask", "key").sortWithinPartitions("mask", "key")
     found = stored(map_arrow(dealt, lambda it: posting_links(it, dense), "u long, v long, hot boolean"))
-    return found.where("NOT hot").select("u", "v").unionByName(_midpoint_links(found.where("hot").select("u", "v")))
+    return found.where("NOT hot").select("u", "v").unionByName(_midpoint_links(found.where("hot").select("u")))
 
 
 def _classes(rows: DataFrame, dense: int) -> DataFrame:
@@ -215,7 +209,8 @@ def _classes(rows: DataFrame, dense: int) -> DataFrame:
     root = components(links(groups.select("fp"), dense)).select(F.col("node").alias("fp"), "root")
     named = stored(groups.join(root, "fp", "left").withColumn("root", F.coalesce("root", "fp")))
     smallest = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    return stored(named.join(smallest, "root").select("fp", "component_id", "root"))
+    # A component may hold a third of all fingerprints: its rows are dealt.
+    return stored(spread_join(named, smallest, ["root"], "inner", ["fp"]).select("fp", "component_id", "root"))
 
 
 def near_duplicates(

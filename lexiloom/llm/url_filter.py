@@ -95,6 +95,12 @@ def filter_urls(captures: DataFrame, entries: DataFrame, url_col: str = "url", d
         F.col(url_col).cast("string").alias("__u"),
         F.col(day_col).cast("date").alias("__d"),
     )
-    joined = whole.join(verdicts.select(F.col("url").alias("__u"), F.col("day").alias("__d"), "listed"), ["__u", "__d"], "left")
+    # A URL may be fetched very often in a day: its captures are dealt by their number. Captures
+    # without a URL or a day have no verdict and go around the join.
+    numbered = whole.withColumn("__n", F.monotonically_increasing_id())
+    fetched = F.col("__u").isNotNull() & F.col("__d").isNotNull()
+    named = verdicts.select(F.col("url").alias("__u"), F.col("day").alias("__d"), "listed")
+    joined = spread_join(numbered.where(fetched), named, ["__u", "__d"], "left", ["__n"]).select("row", "listed")
+    joined = joined.unionByName(whole.where(~fetched).select("row", F.lit(None).cast("array<string>").alias("listed")))
     listed = F.coalesce("listed", F.array().cast("array<string>"))
     return joined.select("row", listed.alias("listed")).select("row.*", "listed", (F.size("listed") == 0).alias("kept"))

@@ -28,6 +28,7 @@ from lexiloom.llm import (
     words,
 )
 from lexiloom.llm.store import scratch, slices
+from lexiloom.operators import skew
 from tests.llm import brute
 from tests.llm.data import awkward, empty, frame
 
@@ -140,6 +141,24 @@ def test_links_of_planted_fingerprints(spark, dense):
     assert got == brute.hamming_components(list(zip(signed, fps)))
 
 
+def test_one_large_component(spark):
+    """A third of all rows in a chain of near fingerprints, crowded postings, dealt joins."""
+    rng = random.Random(12)
+    base, fps = rng.getrandbits(64), []
+    for i in range(300):
+        base ^= 1 << rng.randrange(64)
+        fps.append((i, base))
+    fps += [(1000 + i, rng.getrandbits(64)) for i in range(600)]
+    signed = [(i, fp - (1 << 64) if fp >> 63 else fp) for i, fp in fps]
+    hot = spark.createDataFrame([(fp, 0) for _, fp in signed[:300]], "u long, v long")
+    assert simhash_dedup._midpoint_links(hot).count() <= 300 * 2081
+    got = simhash_dedup._classes(spark.createDataFrame(signed, "id long, fp long"), 8).collect()
+    want = {}
+    for (_, fp), c in zip(signed, brute.hamming_components(fps)):
+        want[fp] = min(c, want.get(fp, c))
+    assert {r.fp: r.component_id for r in got} == want
+
+
 def test_simhash_drop(spark):
     docs = frame(spark, ROWS)
     out = simhash_dedup.drop_near_duplicates(docs)
@@ -227,6 +246,22 @@ def test_splitting_tree_quotas(spark):
     assert placed.select("rank", "block", "copy").distinct().count() == 81
 
 
+def test_mix_replaces_its_columns_in_any_case(spark):
+    docs = spark.createDataFrame([(i, "a b c", "s", "x", 1) for i in range(50)], "doc_id long, text string, source string, Shard string, PLACE int")
+    mixed = mixing.mix(docs)
+    assert mixed.columns == ["doc_id", "text", "source", "shard", "place"] and mixed.count() > 50
+
+
+def test_shards_follow_the_text(spark, monkeypatch):
+    rows = spark.createDataFrame([("s", i, 1, 1000) for i in range(40)], "src string, h long, size long, bytes long")
+    monkeypatch.setattr(mixing, "LEAST_SHARDS", 2)
+    found = []
+    for limit in (10**6, 10_000, 1_000):
+        monkeypatch.setattr(mixing, "SHARD_BYTES", limit)
+        found.append(mixing.shards_for(rows, 1.5))
+    assert found == [2, 8, 64] and mixing.shards_for(rows.limit(0), 1.5) == 2
+
+
 def test_mixing_empty(spark):
     assert mixing.taken_words(empty(spark)).count() == 0
     assert mixing.mix(empty(spark)).count() == 0
@@ -448,6 +483,18 @@ def test_url_lists_as_of_the_fetch(spark):
 # repeated passages
 
 
+def test_captures_fetched_very_often(spark, monkeypatch):
+    """One URL of a day in most captures, null URLs and days, and columns with the verdict's names."""
+    monkeypatch.setattr(skew, "ROWS_PER_TASK", 5)
+    day = datetime.date(2024, 5, 1)
+    rows = [(i, "http://a.example/x", day, "c", 1) for i in range(60)] + [(100, None, day, "c", 1), (101, "http://a.example/x", None, "c", 1)]
+    captures = spark.createDataFrame(rows, "n int, url string, day date, Listed string, kept int")
+    entries = spark.createDataFrame([("d:a.example", "spam", day, True)], "rule string, category string, day date, added boolean")
+    got = url_filter.filter_urls(captures, entries)
+    assert got.columns == ["n", "url", "day", "listed", "kept"]
+    assert {r.n: (r.listed, r.kept) for r in got.collect()} == {i: (["spam"], False) if i < 100 else ([], True) for i, *_ in rows}
+
+
 def test_suffix_arrays():
     rng = random.Random(10)
     for _ in range(400):
