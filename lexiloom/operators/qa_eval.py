@@ -41,6 +41,39 @@ def token_f1(pred: Column, gold: Column, empty_agrees: bool = False) -> Column:
     return bind(sides, lambda s: _f1(s["p"], s["g"], empty_agrees))
 
 
+LONG = 10_000  # tokens of both sides together from which on a row's bags are counted by a shuffle
+
+
+def token_f1_rows(
+    df: DataFrame,
+    keys: Sequence[str],
+    pred: str = "pred",
+    gold: str = "gold",
+    empty_agrees: bool = False,
+    long_tokens: int = LONG,
+) -> DataFrame:
+    """(keys, f1) of every row, as ``token_f1``, for texts of any length.
+
+    ``keys`` identify a row. Rows of fewer than ``long_tokens`` tokens are scored where
+    they are. The tokens of longer ones are counted by (row, token), so that the two bags
+    of a row are never sorted in it. A null text gives a null score.
+    """
+    keys = list(keys)
+    sides = compute_once(
+        df, keys, tokens(normalize_answer(F.col(pred))).alias("__p"), tokens(normalize_answer(F.col(gold))).alias("__g")
+    ).withColumn("__n", F.size("__p") + F.size("__g"))
+    known = F.col("__p").isNotNull() & F.col("__g").isNotNull()
+    is_long = known & (F.col("__n") >= long_tokens) & (F.size("__p") > 0) & (F.size("__g") > 0)
+    f1 = F.when(known, _f1(F.col("__p"), F.col("__g"), empty_agrees))
+    short = sides.where(~is_long).select(*keys, f1.alias("f1"))
+    marked = lambda c, side: F.transform(c, lambda t: F.struct(t.alias("t"), F.lit(side).alias("s")))
+    each = sides.where(is_long).select(*keys, "__n", F.explode(F.concat(marked("__p", 1), marked("__g", 0))).alias("x"))
+    count = lambda side: F.sum((F.col("x.s") == side).cast("bigint"))
+    shared = each.groupBy(*keys, "__n", "x.t").agg(F.least(count(1), count(0)).alias("both"))
+    long = shared.groupBy(*keys, "__n").agg(F.sum("both").alias("both")).select(*keys, (2.0 * F.col("both") / F.col("__n")).alias("f1"))
+    return short.unionByName(long)
+
+
 def raw_scores(questions: DataFrame, preds: DataFrame, no_answers: bool = False) -> DataFrame:
     """Best exact match and F1 over the answers of every question.
 

@@ -95,6 +95,39 @@ def span_text(cands: DataFrame, lower: bool = True) -> DataFrame:
     return sides.withColumn("text", text).drop("__tok", "__orig")
 
 
+def located_spans(cands: DataFrame) -> DataFrame:
+    """Candidates without their window: adds ``tok`` (the window's text of the span) and
+    ``orig_start`` and ``orig_end``, its tokens in the source text."""
+    kept = [c for c in cands.columns if c not in ("tokens", "token_to_orig", "is_max_context")]
+    size = F.col("end") - F.col("start") + 1
+    return cands.select(
+        *kept,
+        join_wordpieces(F.slice("tokens", F.col("start") + 1, size)).alias("tok"),
+        F.get("token_to_orig", F.col("start")).alias("orig_start"),
+        F.get("token_to_orig", F.col("end")).alias("orig_end"),
+    )
+
+
+def decode_spans(cands: DataFrame, sources: DataFrame, lower: bool = True) -> DataFrame:
+    """One candidate per different text of a question, decoded: the columns that
+    ``nbest_spans`` takes, with ``text``.
+
+    ``cands`` comes from ``located_spans``, ``sources`` is (qid, orig_tokens). Windows
+    overlap, so the best candidate of every source range is taken first, by an aggregate
+    with map-side combining; only these meet the source text, by question, and are
+    decoded. A question with very many candidates is dealt over several tasks.
+    """
+    score = F.round(F.col("start_logit") + F.col("end_logit"), DIGITS)
+    held = F.struct((-score).alias("neg"), *ORDER, "start", "end", "start_logit", "end_logit")
+    ranges = cands.groupBy("qid", "orig_start", "orig_end", "tok").agg(F.min(held).alias("b"))
+    met = spread_join(ranges, sources.select("qid", "orig_tokens"), ["qid"], "inner", ["orig_start", "orig_end"])
+    orig = F.array_join(F.slice("orig_tokens", F.col("orig_start") + 1, F.col("orig_end") - F.col("orig_start") + 1), " ")
+    sides = compute_once(met, ["qid", "tok", "b"], orig.alias("__orig"))
+    decoded = sides.select("qid", "b", project_to_source_text(F.col("tok"), F.col("__orig"), lower).alias("text"))
+    best = decoded.groupBy("qid", "text").agg(F.min("b").alias("b"))
+    return best.select("qid", "text", *[f"b.{c}" for c in (*ORDER, "start", "end", "start_logit", "end_logit")])
+
+
 def null_scores(results: DataFrame, features: DataFrame) -> DataFrame:
     """Per question the smallest no-answer score (first position of both arrays)
     and its parts: (qid, score_null, start_logit, end_logit). The first window wins ties."""

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from lexiloom.operators import qa_eval as E
 from lexiloom.plans.bindings import NA_SQL, QA_SQL, na_scores, qa_pairs
-from lexiloom.plans.registry import query
+from lexiloom.plans.registry import query, text_table
 from lexiloom.plans.sqltext import normalized, normalized_tokens
 from lexiloom.session import cut_lineage
 
@@ -220,3 +220,24 @@ def _curve(spark, sf):
 )
 def _histogram(spark, sf):
     return rounded(E.na_prob_histogram(na_scores(spark, sf)), "share")
+
+
+@query(
+    "token_f1_documents",
+    f"""
+    WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+    j AS MATERIALIZED (SELECT a.doc_id, {normalized_tokens('a.text')} AS p, {normalized_tokens('b.text')} AS g
+      FROM d a JOIN d b ON b.doc_id = a.doc_id + 1),
+    x AS (SELECT doc_id, t, count(*) AS c FROM (SELECT doc_id, unnest(p) AS t FROM j) GROUP BY ALL),
+    y AS (SELECT doc_id, t, count(*) AS c FROM (SELECT doc_id, unnest(g) AS t FROM j) GROUP BY ALL),
+    o AS (SELECT x.doc_id, sum(least(x.c, y.c)) AS ov FROM x JOIN y ON x.doc_id = y.doc_id AND x.t = y.t GROUP BY 1)
+    SELECT j.doc_id, round(CASE WHEN coalesce(ov, 0) = 0 THEN 0.0 ELSE 2.0::DOUBLE * ov / (len(p) + len(g)) END, 6) AS f1
+    FROM j LEFT JOIN o ON o.doc_id = j.doc_id
+    """,
+)
+def _token_f1_documents(spark, sf):
+    """Overlap of each document with the next: whole texts of up to tens of thousands of words."""
+    d = text_table(spark, sf, "documents", "doc_id").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    following = d.select((F.col("doc_id") - 1).alias("doc_id"), F.col("text").alias("gold"))
+    pairs = d.withColumnRenamed("text", "pred").join(following, "doc_id")
+    return rounded(E.token_f1_rows(pairs, ["doc_id"], long_tokens=4000), "f1")

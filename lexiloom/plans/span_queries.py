@@ -307,3 +307,61 @@ def _project(spark, sf):
 def _basic(spark, sf):
     c = text_table(spark, sf, "conversations", "conv_id", "turn")
     return c.select("conv_id", "turn", F.md5(F.array_join(T.basic_tokens(F.col("text")), " ")).alias("digest"))
+
+
+# Windows of 64 tokens of a document, a new one every 32, behind a first token that stands
+# for no answer; scores follow from the document, the place and the window.
+WINDOW, STRIDE, BEST = 64, 32, 5
+
+
+def _window_score(a: int, b: int, m: int):
+    score = lambda p: F.pmod(F.col("doc_id") * a + p * b + F.col("lo"), F.lit(m)) / F.lit(10.0)
+    return F.concat(F.array(F.lit(-5.0)), F.transform("places", lambda p: score(p)))
+
+
+def document_windows(spark, sf):
+    docs = text_table(spark, sf, "documents", "doc_id").select("doc_id", T.tokens(F.col("text")).alias("toks")).where(F.size("toks") > 0)
+    lows = docs.select("doc_id", "toks", F.explode(F.sequence(F.lit(0), F.size("toks") - 1, F.lit(STRIDE))).alias("lo"))
+    return lows.select(
+        "doc_id", "lo", F.slice("toks", F.col("lo") + 1, WINDOW).alias("held"),
+        F.sequence(F.col("lo"), F.least(F.col("lo") + WINDOW, F.size("toks")) - 1).alias("places"),
+    ).withColumn("unique_id", F.concat_ws(":", "doc_id", "lo"))
+
+
+@query(
+    "nbest_texts",
+    f"""
+    WITH d AS MATERIALIZED (SELECT doc_id, {tok('text')} AS toks FROM documents),
+    w AS (SELECT doc_id, len(toks) AS n, unnest(range(0, len(toks), {STRIDE})) AS lo FROM d),
+    p AS (SELECT doc_id, lo, unnest(range(lo, least(lo + {WINDOW}, n))) AS pos FROM w),
+    s AS MATERIALIZED (SELECT *, ((doc_id * 31 + pos * 17 + lo) % 101) / 10.0::DOUBLE AS sl,
+                              ((doc_id * 13 + pos * 29 + lo) % 97) / 10.0::DOUBLE AS el FROM p),
+    sr AS (SELECT *, row_number() OVER (PARTITION BY doc_id, lo ORDER BY sl DESC, pos) - 1 AS r FROM s),
+    er AS (SELECT *, row_number() OVER (PARTITION BY doc_id, lo ORDER BY el DESC, pos) - 1 AS r FROM s),
+    cd AS (SELECT doc_id, lo, sr.pos AS a, er.pos AS z, sr.sl, er.el, sr.r AS srk, er.r AS erk, round(sr.sl + er.el, 9) AS score
+           FROM sr JOIN er USING (doc_id, lo) WHERE sr.r < {BEST} AND er.r < {BEST} AND er.pos >= sr.pos
+             AND er.pos - sr.pos < 30 AND (sr.pos + lo) % 5 <> 0),
+    tx AS (SELECT cd.*, array_to_string(toks[a + 1 : z + 1], ' ') AS text FROM cd JOIN d USING (doc_id)),
+    dd AS (SELECT *, row_number() OVER (PARTITION BY doc_id, text ORDER BY score DESC, lo, srk, erk) AS k FROM tx),
+    nb AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, lo, srk, erk) AS rank FROM dd WHERE k = 1)
+    SELECT doc_id, CAST(rank AS BIGINT) AS rank, md5(text) AS digest, round(sl, 6) AS start_logit, round(el, 6) AS end_logit
+    FROM nb WHERE rank <= 20
+    """,
+)
+def _nbest_texts(spark, sf):
+    """The texts of the best spans of a document over all its windows."""
+    w = document_windows(spark, sf)
+    logits = w.select("unique_id", _window_score(31, 17, 101).alias("start_logits"), _window_score(13, 29, 97).alias("end_logits"))
+    held = w.select(
+        "unique_id", F.col("doc_id").alias("qid"), F.col("lo").alias("feature_index"),
+        F.concat(F.array(F.lit("[CLS]")), "held").alias("tokens"),
+        F.concat(F.array(F.lit(None).cast("int")), "places").alias("token_to_orig"),
+        F.concat(F.array(F.lit(False)), F.transform("places", lambda p: (p + F.col("lo")) % 5 != 0)).alias("is_max_context"),
+    )
+    cands = D.located_spans(D.span_candidates(logits, held, n=BEST))
+    sources = text_table(spark, sf, "documents", "doc_id").select(F.col("doc_id").alias("qid"), T.tokens(F.col("text")).alias("orig_tokens"))
+    best = D.nbest_spans(D.decode_spans(cands, sources), 20)
+    return best.select(
+        F.col("qid").alias("doc_id"), F.col("rank").cast("bigint").alias("rank"), F.md5("text").alias("digest"),
+        F.round("start_logit", 6).alias("start_logit"), F.round("end_logit", 6).alias("end_logit"),
+    )

@@ -298,3 +298,41 @@ def test_curve_points_give_the_area(spark):
     for r in points:
         area, before = area + r.precision * (r.recall - before), r.recall
     assert abs(E.average_precision(scores).first().ap - 100 * area) < 1e-9
+
+
+@pytest.mark.parametrize("border", [0, 5, 6, 7, 10**6])
+@pytest.mark.parametrize("empty_agrees", [False, True])
+def test_f1_of_long_texts_equals_the_row_wise(spark, border, empty_agrees):
+    rng = random.Random(border)
+    text = lambda: " ".join(rng.choice(["The", "cat,", "cat", "dog", "a", "x-y", "ÉCOLE"]) for _ in range(rng.randint(0, 6)))
+    rows = [(i, i % 7 if i % 5 else None, text(), text()) for i in range(120)] + [(200, 1, None, "cat"), (201, 1, "cat", None), (202, 1, "", "")]
+    df = spark.createDataFrame(rows, "id int, k int, pred string, gold string")
+    want = {r.id: r.f1 for r in df.select("id", E.token_f1(F.col("pred"), F.col("gold"), empty_agrees).alias("f1")).collect()}
+    got = E.token_f1_rows(df, ["id", "k"], empty_agrees=empty_agrees, long_tokens=border).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        if r.id in (200, 201):
+            assert r.f1 is None
+        else:
+            assert abs(r.f1 - want[r.id]) < 1e-12
+
+
+def test_spans_decoded_from_the_source(spark):
+    """Pieces, windows that overlap, and ranges that share a text."""
+    source = ["The", "Unaffable", "Man,", "the", "unaffable", "man,", "Ürgh"]
+    pieces = [("the", 0), ("una", 1), ("##ff", 1), ("##able", 1), ("man", 2), (",", 2), ("the", 3), ("una", 4), ("##ffable", 4), ("man", 5), (",", 5), ("urgh", 6)]
+    rows = []
+    for lo in (0, 3, 6):
+        held = pieces[lo : lo + 7]
+        rows.append((f"u{lo}", 1, lo // 3, ["[CLS]"] + [t for t, _ in held], [None] + [o for _, o in held], [False] + [True] * len(held)))
+    features = spark.createDataFrame(rows, "unique_id string, qid int, feature_index int, tokens array<string>, token_to_orig array<int>, is_max_context array<boolean>")
+    rng = random.Random(1)
+    logits = spark.createDataFrame([(r[0], [rng.random() for _ in r[3]], [rng.random() for _ in r[3]]) for r in rows], "unique_id string, start_logits array<double>, end_logits array<double>")
+    sources = spark.createDataFrame([(1, source)], "qid int, orig_tokens array<string>")
+    cands = D.span_candidates(logits, features, n=5)
+    # The window-wise way, with the source cut per window.
+    cut = features.select("unique_id", F.lit(0).alias("orig_first"))
+    direct = D.span_text(cands.join(cut, "unique_id").crossJoin(sources.select("orig_tokens")))
+    want = {(r["rank"], r.text, r.start_logit, r.end_logit) for r in D.nbest_spans(direct, 8).collect()}
+    got = {(r["rank"], r.text, r.start_logit, r.end_logit) for r in D.nbest_spans(D.decode_spans(D.located_spans(cands), sources), 8).collect()}
+    assert got == want and len(got) > 4
