@@ -1,6 +1,7 @@
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -237,12 +238,11 @@ def test_slabs_equal_rows(spark, slab):
     lines = lines_of(rng, 60, 30) + [("empty", ""), ("none", None), ("é", "éabébaé" * 9)]
     df = spark.createDataFrame(lines, "key string, text string")
     counted = spark.createDataFrame(WORDS, "gram string, cnt bigint")
-    held = membership(counted.select("gram"))
     rows = S.segment_unigram(df.where("text IS NOT NULL"), counted, max_len=4)
     want = {r.key: (r.words, round(r.logprob, 6)) for r in rows.collect() if r.words}
-    for within in (None, held):
+    for filtered in (False, True):
         got = {}
-        for r in sorted(long_lines.segment_slabs(df, counted, max_len=4, slab=slab, within=within).collect(), key=lambda r: (r.key, r.start)):
+        for r in sorted(long_lines.segment_slabs(df, counted, max_len=4, slab=slab, filtered=filtered).collect(), key=lambda r: (r.key, r.start)):
             words, score = got.setdefault(r.key, ([], []))
             assert r.start == sum(map(len, words))
             words.append(r.word)
@@ -250,6 +250,19 @@ def test_slabs_equal_rows(spark, slab):
         assert {k: (w, round(sum(s), 6)) for k, (w, s) in got.items()} == want
 
 
+def test_rolling_hashes():
+    rng = random.Random(1)
+    texts = ["".join(rng.choice("aé日😀b") for _ in range(60)) for _ in range(20)]
+    seen = {}
+    for text in texts:
+        rolling = long_lines.RollingHash(text)
+        for a in range(60):
+            for b in range(a + 1, min(61, a + 9)):
+                h = int(rolling.of(np.array([a]), np.array([b]))[0])
+                assert seen.setdefault(text[a:b], h) == h
+    assert len(set(seen.values())) == len(seen)
+
+
 def test_a_line_of_a_million_characters(spark):
     rng = random.Random(9)
     text = "".join(rng.choice(["the", "cat", "sat", "on", "mat", "q", "xx"]) for _ in range(400_000))[:1_000_000]
