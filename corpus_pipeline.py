@@ -3,11 +3,18 @@
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run`` writes
 every result as Parquet in the shared folder and reads it as the next stage's
 documents.
+
+Defined results: a null or empty text has no words and fails the quality rules; no
+text is cut; of equal texts the row of the largest id stays, of near-equal ones that
+of the smallest, with ties and null ids as the operators say; repeated rows are one
+after the second stage and may be repeated again by the mix. Extra columns pass
+through all stages but the last, whatever their names. An empty table gives no rows.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lexiloom.llm import exact_dedup, mixing, packing, quality_rules, simhash_dedup
 from lexiloom.llm.store import stored
@@ -31,7 +38,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents repeated or left out so that sources meet their weights."""
-    return mixing.mix(docs).select(*docs.columns)
+    # The mix adds a shard and a place; columns of documents with these names stay as they are.
+    kept = {c: f"__kept_{i}" for i, c in enumerate(docs.columns) if c.lower() in ("shard", "place")}
+    out = mixing.mix(docs.withColumnsRenamed(kept))
+    return out.select(*[F.col(f"`{kept.get(c, c)}`").alias(c) for c in docs.columns])
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
