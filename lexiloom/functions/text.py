@@ -231,7 +231,8 @@ def project_to_source_text(pred: Column, orig: Column, lower: bool = True) -> Co
 
     ``pred`` is looked up in the tokenised ``orig`` and its first and last
     character are carried over by counting the characters that are not spaces.
-    On any mismatch the answer is ``orig`` itself.
+    On any mismatch the answer is ``orig`` itself. An equal ``pred`` gives ``orig`` either
+    way and is not looked up.
     """
 
     def ink(text: Column) -> Column:
@@ -256,4 +257,4 @@ def project_to_source_text(pred: Column, orig: Column, lower: bool = True) -> Co
         )
         return F.when(usable & edges, span).otherwise(orig)
 
-    return bind(F.array_join(basic_tokens(orig, lower), " "), carry)
+    return F.when(pred == orig, orig).otherwise(bind(F.array_join(basic_tokens(orig, lower), " "), carry))

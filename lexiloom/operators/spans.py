@@ -26,16 +26,18 @@ def top_logits(df: DataFrame, logits: str, n: int = 20) -> DataFrame:
     ).drop("rank", "b").withColumnRenamed("__r", "rank")
 
 
-def span_candidates(results: DataFrame, features: DataFrame, n: int = 20, max_answer: int = 30) -> DataFrame:
+def span_candidates(results: DataFrame | None, features: DataFrame, n: int = 20, max_answer: int = 30) -> DataFrame:
     """All pairs of a window's best starts and ends that form a valid answer.
 
     ``results`` is (unique_id, start_logits, end_logits), ``features`` (unique_id,
-    qid, feature_index, tokens, token_to_orig, is_max_context, ...). Valid: both
+    qid, feature_index, tokens, token_to_orig, is_max_context, ...). Where the rows of
+    ``features`` already carry both logits, ``results`` is None and nothing is shuffled. Valid: both
     ends in the passage, the start in its best window, end not before start, at
     most ``max_answer`` tokens. ``start_rank`` and ``end_rank`` keep the order
     in which pairs are formed.
     """
-    joined = features.join(results.select("unique_id", "start_logits", "end_logits"), "unique_id")
+    logits = ["start_logits", "end_logits"]
+    joined = features if results is None else features.join(results.select("unique_id", *logits), "unique_id")
     orig, context = F.col("token_to_orig"), F.col("is_max_context")
 
     def usable(best: Column, start: bool) -> Column:
@@ -72,7 +74,7 @@ def span_candidates(results: DataFrame, features: DataFrame, n: int = 20, max_an
             )
         ),
     )
-    return joined.select(*features.columns, F.inline(pairs))
+    return joined.select(*[c for c in features.columns if c not in logits], F.inline(pairs))
 
 
 def span_text(cands: DataFrame, lower: bool = True) -> DataFrame:
@@ -108,19 +110,25 @@ def located_spans(cands: DataFrame) -> DataFrame:
     )
 
 
-def decode_spans(cands: DataFrame, sources: DataFrame, lower: bool = True) -> DataFrame:
+def decode_spans(cands: DataFrame, sources: DataFrame, lower: bool = True, hot: DataFrame | None = None) -> DataFrame:
     """One candidate per different text of a question, decoded: the columns that
     ``nbest_spans`` takes, with ``text``.
 
     ``cands`` comes from ``located_spans``, ``sources`` is (qid, orig_tokens). Windows
     overlap, so the best candidate of every source range is taken first, by an aggregate
     with map-side combining; only these meet the source text, by question, and are
-    decoded. A question with very many candidates is dealt over several tasks.
+    decoded. A question with very many candidates is dealt over several tasks; ``hot``
+    names these (qid, __fan) where the caller knows them. If it knows that there are
+    none, candidates and sources that both lie by question meet without a shuffle.
     """
     score = F.round(F.col("start_logit") + F.col("end_logit"), DIGITS)
     held = F.struct((-score).alias("neg"), *ORDER, "start", "end", "start_logit", "end_logit")
     ranges = cands.groupBy("qid", "orig_start", "orig_end", "tok").agg(F.min(held).alias("b"))
-    met = spread_join(ranges, sources.select("qid", "orig_tokens"), ["qid"], "inner", ["orig_start", "orig_end"])
+    source = sources.select("qid", "orig_tokens")
+    if hot is not None and hot.isEmpty():
+        met = ranges.join(source, "qid")
+    else:
+        met = spread_join(ranges, source, ["qid"], "inner", ["orig_start", "orig_end"], hot=hot)
     orig = F.array_join(F.slice("orig_tokens", F.col("orig_start") + 1, F.col("orig_end") - F.col("orig_start") + 1), " ")
     sides = compute_once(met, ["qid", "tok", "b"], orig.alias("__orig"))
     decoded = sides.select("qid", "b", project_to_source_text(F.col("tok"), F.col("__orig"), lower).alias("text"))

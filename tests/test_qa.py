@@ -336,3 +336,43 @@ def test_spans_decoded_from_the_source(spark):
     want = {(r["rank"], r.text, r.start_logit, r.end_logit) for r in D.nbest_spans(direct, 8).collect()}
     got = {(r["rank"], r.text, r.start_logit, r.end_logit) for r in D.nbest_spans(D.decode_spans(D.located_spans(cands), sources), 8).collect()}
     assert got == want and len(got) > 4
+
+
+def test_candidates_of_rows_that_carry_their_scores(spark):
+    results = spark.createDataFrame([("a", [0.0, 3.0, 1.0, 2.0], [0.0, 1.0, 2.0, 3.0]), ("b", [0.0, 1.0], [0.0, 4.0])], "unique_id string, start_logits array<double>, end_logits array<double>")
+    features = spark.createDataFrame(
+        [("a", 1, 0, ["[CLS]", "x", "y", "x"], [None, 0, 1, 2], [False, True, True, True]), ("b", 1, 1, ["[CLS]", "x"], [None, 2], [False, True])],
+        "unique_id string, qid int, feature_index int, tokens array<string>, token_to_orig array<int>, is_max_context array<boolean>",
+    )
+    want = D.span_candidates(results, features)
+    got = D.span_candidates(None, features.join(results, "unique_id"))
+    assert got.columns == want.columns
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    cands = D.located_spans(got)
+    sources = spark.createDataFrame([(1, ["x", "y", "x"])], "qid int, orig_tokens array<string>")
+    hot = lambda fan: spark.createDataFrame([(1, fan)], "qid int, __fan int").where("__fan > 1")
+    texts = [sorted(map(str, D.decode_spans(cands, sources, hot=h).collect())) for h in (None, hot(1), hot(3))]
+    assert texts[0] == texts[1] == texts[2] and len(texts[0]) > 3
+
+
+def test_equal_texts_project_to_the_source(spark):
+    from lexiloom.functions.text import project_to_source_text
+
+    rows = [("a-b c", "a-b c"), (" a b ", " a b "), ("É x", "É x"), ("", ""), (None, "x"), ("a b", "A b"), ("- c", "a-c c")]
+    df = spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], "p string, o string, i int").repartition(2)
+    got = [r.t for r in df.orderBy("i").select(project_to_source_text(F.col("p"), F.col("o")).alias("t")).collect()]
+    assert got == ["a-b c", " a b ", "É x", "", "x", "A b", "-c"]
+
+
+def test_nbest_texts_deals_documents_once(spark, tmp_path):
+    from lexiloom.plans.span_queries import _nbest_texts
+
+    words = " ".join(f"w{i * 7 % 50}" for i in range(90))
+    rows = [(1, words), (1, words[:150]), (2, "a b c"), (None, "x y"), (3, ""), (4, None)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    out = _nbest_texts(spark, str(tmp_path))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    keys = {line.split("Exchange hashpartitioning(")[1].split("#")[0] for line in plan.split("\n") if "Exchange hashpartitioning(" in line}
+    assert keys == {"doc_id"}
+    got = out.groupBy("doc_id").count().collect()
+    assert {r.doc_id: r["count"] for r in got} == {1: 20, 2: 3}
