@@ -313,3 +313,27 @@ def test_filtered_lattices_and_pairs(spark):
     assert sorted(both) == sorted(N.ngram_counts(tokens, 1).collect() + N.ngram_counts(tokens, 2).collect())
     kept = {r.gram: r.cnt for r in N.ngram_counts(tokens, 1, within=held).collect()}
     assert all(kept[r.gram] == r.cnt for r in N.ngram_counts(tokens, 1).collect() if r.gram in dict(WORDS))
+
+
+def test_slabs_are_worked_on_in_slices_of_characters():
+    import pandas as pd
+
+    from lexiloom.operators import long_lines as L
+
+    sizes = [3, L.SLICE - 2, 0, 5, 2 * L.SLICE, 1, 1]
+    batch = pd.DataFrame({"id": range(len(sizes)), "piece": ["x" * n for n in sizes]})
+    slices = list(L._slices([batch.iloc[:0], batch], "piece"))
+    assert [list(s["id"]) for s in slices] == [[0], [1, 2], [3], [4], [5, 6]]
+
+
+def test_words_of_a_bucket_are_placed_by_slab_number():
+    import pandas as pd
+
+    from lexiloom.operators import long_lines as L
+
+    slabs = pd.DataFrame({"id": [7, 3], "key": ["a", "b"], "at": [0, 0], "own": [2, 3], "last": [True, True]})
+    edges = pd.DataFrame({"id": [3, 5, 7], "start": [1, 0, 0], "len": [2, 1, 2], "score": [-1, -2, -3]})
+    held = L.Bucket(slabs, edges, np.array([-10, -20], np.int64))
+    at = dict(zip(held.slabs["key"], held.first.tolist()))
+    assert held.scores[at["b"] + 1, 1] == -1 and held.scores[at["a"], 1] == -3
+    assert held.scores[at["b"], 0] == -10 and held.scores[at["a"], 0] == -10
