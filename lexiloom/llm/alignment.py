@@ -44,6 +44,7 @@ from lexiloom.llm.store import empty_if_null, map_arrow, slices, stored
 
 BLOCK_BYTES = 4 << 20  # text whose different chunks are encoded together
 JOINED = 1 << 16  # characters of chunks sent to a tokenizer at once
+PART = 1 << 18  # characters of chunks aligned at once: the arrays in between grow with it, not with the block
 # Latin letters and signs, which are of one kind in any version of Unicode.
 _RE2_LATIN = r"!-~\x{c0}-\x{ff}"
 CUT = "\x01"  # marks chunks while a text is split
@@ -138,6 +139,16 @@ class Chunks:
     ``groups``    the groups of each chunk, written out
     """
 
+    def __init__(self, chunks: list[str], plain: np.ndarray, both: Alphabets):
+        parts = [_Part(chunks[lo:hi], plain[lo:hi], both) for lo, hi in _parts(chunks)] or [_Part([], plain, both)]
+        for name in ("good", "n_a", "n_b", "n_groups", "n_links", "keys", "regular"):
+            setattr(self, name, np.concatenate([getattr(p, name) for p in parts]))
+        self.groups = [g for p in parts for g in p.groups]
+
+
+class _Part:
+    """Neighbouring chunks, with what ``Chunks`` says of them."""
+
     def __init__(self, chunks: list[str], plain: np.ndarray, both: Alphabets):
         raw = [c.encode() for c in chunks]
         ends = np.cumsum(np.fromiter(map(len, raw), np.int64, len(raw)))
@@ -203,6 +214,18 @@ def _written(a, b, a_ends, b_ends, group_ends, chunk_ends, filled, n) -> list[by
     return out
 
 
+def _parts(chunks: list[str]) -> Iterator[tuple[int, int]]:
+    """Neighbouring chunks of ``PART`` characters in all, or one longer chunk."""
+    lo, held = 0, 0
+    for i, chunk in enumerate(chunks):
+        if lo < i and held + len(chunk) > PART:
+            yield lo, i
+            lo, held = i, 0
+        held += len(chunk)
+    if lo < len(chunks):
+        yield lo, len(chunks)
+
+
 def _runs(chunks: list[str], plain: np.ndarray) -> Iterator[tuple[int, int]]:
     """Neighbouring plain chunks of ``JOINED`` characters in all; any other chunk alone."""
     lo, held = 0, 0

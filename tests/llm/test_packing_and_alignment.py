@@ -217,3 +217,22 @@ def test_alignment_of_an_empty_table(spark):
 
 def test_op12(spark, both):
     check_alignment(QUERIES["op12_alignment"](spark, SF_DIR).collect(), documents(), both)
+
+
+def test_chunks_are_aligned_in_parts(monkeypatch):
+    import public_tokenizers
+
+    from lexiloom.llm import alignment as A
+
+    both = A.alphabets(public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+    texts = pa.array(["plain words, and more of them", "größer 漢字 \u2581 x", "", "a\x01b c", "word " * 40, "x" * 90])
+    _, _, chunks, plain = A.split_chunks(texts)
+    whole = A.Chunks(chunks, plain, both)
+    monkeypatch.setattr(A, "PART", 20)
+    assert len(list(A._parts(chunks))) > 3
+    parts = A.Chunks(chunks, plain, both)
+    for name in ("good", "n_a", "n_b", "n_groups", "n_links", "keys", "regular"):
+        assert getattr(parts, name).tolist() == getattr(whole, name).tolist()
+        assert getattr(parts, name).dtype == getattr(whole, name).dtype
+    assert parts.groups == whole.groups
+    assert A.Chunks([], np.zeros(0, bool), both).groups == []
