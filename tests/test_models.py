@@ -337,3 +337,25 @@ def test_words_of_a_bucket_are_placed_by_slab_number():
     at = dict(zip(held.slabs["key"], held.first.tolist()))
     assert held.scores[at["b"] + 1, 1] == -1 and held.scores[at["a"], 1] == -3
     assert held.scores[at["b"], 0] == -10 and held.scores[at["a"], 0] == -10
+
+
+def test_pairs_of_lines_folded_together(spark, monkeypatch):
+    """Lines of one key are lines of their own, whatever the bucket and the slice; the score is that of the path."""
+    from lexiloom.operators import word_pairs
+
+    rng = random.Random(8)
+    texts = ["".join(rng.choice("abc\U0001f600") for _ in range(rng.randrange(1, 40))) for _ in range(60)]
+    df = spark.createDataFrame([(f"k{i % 7}", t) for i, t in enumerate(texts)] + [("k0", ""), ("k1", None)], "key string, text string")
+    counted = spark.createDataFrame(WORDS, "gram string, cnt bigint")
+    pairs = spark.createDataFrame([("a ba", 4), ("ab c", 3), ("c ab", 2), ("ba b", 2), ("zz a", 9)], "gram string, cnt bigint")
+    alone = {}
+    for i, t in enumerate(texts[:6]):  # a line without company
+        (r,) = S.segment_bigram(lines(spark, [t]), counted, pairs, max_len=4).collect()
+        alone[i] = (t, r.words, r.logprob)
+    monkeypatch.setattr(word_pairs, "BUCKET", 100)
+    monkeypatch.setattr(long_lines, "SLICE", 64)
+    got = S.segment_bigram(df, counted, pairs, max_len=4).collect()
+    assert sorted((r.key, r.text) for r in got) == sorted([(f"k{i % 7}", t) for i, t in enumerate(texts)] + [("k0", "")])
+    assert all("".join(r.words) == r.text for r in got)
+    for t, words, logprob in alone.values():
+        assert (words, logprob) in [(r.words, r.logprob) for r in got if r.text == t]
