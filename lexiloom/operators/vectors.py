@@ -18,7 +18,8 @@ from lexiloom.operators.skew import deal, hot_keys, repeat, spread_join
 from lexiloom.session import cut_lineage
 
 ROWS_PER_BLOCK = 8192
-QUERY_ROWS = 512  # rows of a block scored at once: 512 x 8192 doubles are 32 MB
+QUERY_ROWS = 128  # rows of a block scored at once: 128 x 8192 doubles are 8 MB
+PEAK_OF = 32  # similarities of which the largest is kept to bound the k-th largest
 DIGITS = 12  # similarities that agree to twelve decimals count as ties
 
 
@@ -28,6 +29,18 @@ def unit_rows(vectors: pd.Series) -> np.ndarray:
     return np.divide(m, size, out=np.zeros_like(m), where=size > 0)
 
 
+def _floors(sims: np.ndarray, k: int) -> np.ndarray:
+    """Per row a bound that its ``k`` largest entries reach, rounded or not: the k-th largest of
+    the peaks of groups of entries, as each of those is an entry. No row is sorted as a whole."""
+    rows, n = sims.shape
+    if n < 2 * k:
+        return np.full(rows, -np.inf)
+    width = max(1, min(PEAK_OF, n // (2 * k)))
+    peaks = np.maximum.reduceat(sims, np.arange(0, n, width), axis=1) if n % width else sims.reshape(rows, -1, width).max(axis=2)
+    at = peaks.shape[1] - k
+    return np.partition(peaks, at, axis=1)[:, at] - 10.0**-DIGITS
+
+
 def _block_top(k: int, exclude_self: bool):
     """Best ``k`` table words per query of one pair of blocks."""
 
@@ -37,26 +50,23 @@ def _block_top(k: int, exclude_self: bool):
             # Names in order, so that a stable choice of the largest prefers the smaller name.
             table = table.sort_values("tword", kind="stable")
             names, unit_table = table["tword"].to_numpy(), unit_rows(table["tvec"])
+            known = ~np.isnan(unit_table).any(axis=1)  # others are like no word
+            names, unit_table = names[known], unit_table[known]
             for lo in range(0, len(queries), QUERY_ROWS):
                 part = queries.iloc[lo : lo + QUERY_ROWS]
                 words = part["qword"].to_numpy()
-                sims = np.round(unit_rows(part["qvec"]) @ unit_table.T, DIGITS)
+                sims = unit_rows(part["qvec"]) @ unit_table.T
                 if exclude_self:
                     at = np.searchsorted(names, words)
                     mine = np.flatnonzero((at < len(names)) & (names[np.minimum(at, len(names) - 1)] == words))
                     sims[mine, at[mine]] = -np.inf
-                n = min(k, len(names))
-                if n < len(names):
-                    floor = np.partition(sims, len(names) - n, axis=1)[:, len(names) - n, None]
-                    row, col = np.nonzero((sims >= floor) & (sims > -np.inf))  # ties at the end are cut below
-                else:
-                    row, col = np.nonzero(sims > -np.inf)
-                order = np.lexsort((col, -sims[row, col], row))
-                row, col = row[order], col[order]
+                row, col = np.nonzero((sims >= _floors(sims, k)[:, None]) & (sims > -np.inf))  # the rest is cut below
+                near = np.round(sims[row, col], DIGITS)
+                order = np.lexsort((col, -near, row))
+                row, col, near = row[order], col[order], near[order]
                 first = np.searchsorted(row, np.arange(len(words)))
                 best = np.arange(len(row)) - first[row] < k
-                row, col = row[best], col[best]
-                out.append(pd.DataFrame({"word": words[row], "other": names[col], "sim": sims[row, col]}))
+                out.append(pd.DataFrame({"word": words[row[best]], "other": names[col[best]], "sim": near[best]}))
         return pd.concat(out) if out else pd.DataFrame({"word": [], "other": [], "sim": []}, dtype="object")
 
     return run
@@ -82,7 +92,7 @@ def most_similar(
         """Rows with the hash block they belong to and a copy per block of the other side."""
         return side.select(
             F.col("word").alias(f"{name}word"),
-            doubles(F.col("vec")).alias(f"{name}vec"),
+            F.col("vec").alias(f"{name}vec"),  # as it is: the copies of floats stay floats
             F.pmod(F.xxhash64("word"), F.lit(n_mine)).cast("int").alias(f"{name}mine"),
             F.explode(F.sequence(F.lit(0), F.lit(n_other - 1))).alias(f"{name}other"),
         )
@@ -239,6 +249,9 @@ def rerank_in_context(
     are never paired with context words. A sentence without known context
     words gives no rows.
     """
+    # Read three times: to find the words of most rows, to count an even share, and to be scored.
+    # A search that the candidates come from is run once.
+    cands = cut_lineage(cands.select("qid", "other"))
     units = vectors.select("word", unit(F.col("vec")).alias("u"))
     dim = vector_size(vectors)
     context = (
@@ -260,7 +273,7 @@ def rerank_in_context(
         F.zip_with("t", "around", lambda t, c: (t * F.col("n") + c) / (2 * F.col("n"))).alias("s"),
     )
     others = units.select(F.col("word").alias("other"), F.col("u").alias("c"))
-    scored = spread_join(cands.select("qid", "other"), others, ["other"], "inner", ["qid"]).join(sentence, "qid").select(
+    scored = spread_join(cands, others, ["other"], "inner", ["qid"]).join(sentence, "qid").select(
         "qid", "other", F.round(dot(F.col("c"), F.col("s")), DIGITS).alias("score")
     )
     best = F.asc("score") if ascending else F.desc("score")
