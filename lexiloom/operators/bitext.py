@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Callable, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType
 
-from lexiloom.functions.text import tokens
-from lexiloom.operators.ngrams import ngrams
 from lexiloom.operators.ordered import positions
 
 ORDERS = 4
@@ -46,30 +47,19 @@ def corpus_bleu(
     zero counts: (bleu, ref_len, hyp_len, p1 .. p4). Lines are matched on ``keys``.
     """
     line = [*by, *[k for k in keys if k not in by]]
-    both = (
-        ref.select(*line, tokens(F.lower("text")).alias("r"))
-        .join(hyp.select(*line, tokens(F.lower("text")).alias("h")), line)
+    nothing = F.lit(None).cast("string")
+    sides = ref.select(*line, F.col("text").alias("r"), nothing.alias("h")).unionByName(
+        hyp.select(*line, nothing.alias("r"), F.col("text").alias("h"))
     )
-
-    def stack(side: str) -> Column:
-        parts = []
-        for n in range(1, ORDERS + 1):
-            arr = F.col(side) if n == 1 else ngrams(F.col(side), n)
-            parts.append(_tag(arr, n, side))
-        return F.concat(*parts)
-
-    each = both.select(*line, F.inline(F.concat(stack("r"), stack("h"))))
-    counts = each.groupBy(*line, "n", "g").agg(F.sum("r").alias("r"), F.sum("h").alias("h"))
-    sums = [
-        F.coalesce(F.sum(F.when(F.col("n") == n, value)), F.lit(0)).cast("double").alias(name)
-        for n in range(1, ORDERS + 1)
-        for value, name in (
-            (F.least("r", "h"), f"__c{n}"),
-            (F.col("h"), f"__t{n}"),
-            (F.col("r"), f"__r{n}"),
-        )
-    ]
-    total = counts.groupBy(*by).agg(*sums)
+    for c in line:  # null keys match nothing
+        sides = sides.where(F.col(c).isNotNull())
+    # Texts are shuffled, n-grams are not: both sides of a line meet in one row and are compared there.
+    met = sides.groupBy(*line).agg(F.collect_list("r").alias("r"), F.collect_list("h").alias("h"))
+    lower = lambda c: F.transform(c, F.lower)
+    both = met.where((F.size("r") > 0) & (F.size("h") > 0)).select(*by, _line_counts(lower("r"), lower("h")).alias("__c"))
+    flat = both.select(*by, *[F.get("__c", i).alias(name) for i, name in enumerate(_COUNTS)])
+    some = flat.where((F.col("__r1") > 0) | (F.col("__t1") > 0))
+    total = some.groupBy(*by).agg(*[F.coalesce(F.sum(c), F.lit(0)).cast("double").alias(c) for c in _COUNTS])
     # Zero matches at order n count as 1 / (2^j * total), j being the number of
     # zero orders so far; orders without n-grams give 0.
     zeros = F.lit(0)
@@ -93,9 +83,21 @@ def corpus_bleu(
     )
 
 
-def _tag(arr: Column, n: int, side: str) -> Column:
-    r, h = (1, 0) if side == "r" else (0, 1)
-    return F.transform(
-        arr,
-        lambda g: F.struct(F.lit(n).alias("n"), g.alias("g"), F.lit(r).alias("r"), F.lit(h).alias("h")),
-    )
+_COUNTS = [f"__{c}{n}" for n in range(1, ORDERS + 1) for c in "ctr"]
+
+
+@F.pandas_udf(ArrayType(LongType()))
+def _line_counts(ref: pd.Series, hyp: pd.Series) -> pd.Series:
+    """Per order the clipped matches and the n-grams of both sides of a line, whose texts are two
+    arrays. Where a line has several, each text meets each of the other side. ``str.split``
+    cuts where ``tokens`` does."""
+
+    def counted(r: Sequence[str], h: Sequence[str]) -> list[int]:
+        out, sides = [], [[t.split() for t in side] for side in (r, h)]
+        for n in range(1, ORDERS + 1):
+            a, b = (Counter(g for t in side for g in zip(*[t[i:] for i in range(n)])) for side in sides)
+            shared = sum(min(len(h) * k, len(r) * b[g]) for g, k in a.items() if g in b)
+            out += [shared, len(r) * b.total(), len(h) * a.total()]
+        return out
+
+    return pd.Series([counted(r, h) for r, h in zip(ref, hyp)], dtype="object")

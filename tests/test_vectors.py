@@ -1,4 +1,5 @@
 import math
+import random
 
 import numpy as np
 import pytest
@@ -229,3 +230,57 @@ def test_score_runs(spark):
     subs = spark.createDataFrame([("dev", 0, "side.n\tteam")], "testset string, line_no int, text string")
     guess = spark.createDataFrame([("r1", "dev", 0, "x team")], "run string, testset string, line_no int, text string")
     assert H.score_runs(subs, guess, names.limit(1), "hits").first()["score"] == 100.0
+
+
+def test_bleu_of_repeated_and_empty_lines(spark, tmp_path):
+    """Texts of a line that has several meet each other; null texts and keys and empty lines count for nothing."""
+    rng = random.Random(5)
+    some = lambda: " ".join(rng.choice("abÄc") for _ in range(rng.randrange(0, 9)))
+    rows = [[(i % 3, i % 20, some()) for i in range(60)] + [(0, 1, some()), (0, 1, None), (None, 2, "a b"), (1, None, "a b"), (7, 7, " 　")] for _ in "rh"]
+    rows[1].append((2, 5, some()))
+    ref, hyp = (spark.createDataFrame(r, "run int, line_no int, text string") for r in rows)
+    want = {}
+    for run, line, r in rows[0]:
+        for other, at, h in rows[1]:
+            if None not in (run, line, r, h) and (run, line) == (other, at):
+                for n in range(1, 5):
+                    for side, t in enumerate((r, h)):
+                        words = t.lower().split()
+                        for i in range(len(words) - n + 1):
+                            want.setdefault((run, n), {}).setdefault((line, *words[i : i + n]), [0, 0])[side] += 1
+    got = {r.run: r for r in B.corpus_bleu(ref, hyp, by=["run"]).collect()}
+    assert set(got) == {0, 1, 2}
+    for run, r in got.items():
+        assert r.ref_len == sum(a for a, _ in want[run, 1].values()) and r.hyp_len == sum(b for _, b in want[run, 1].values())
+        for n in range(1, 5):
+            shared, all_of = sum(min(c) for c in want[run, n].values()), sum(b for _, b in want[run, n].values())
+            assert shared == 0 or math.isclose(r[f"p{n}"], 100 * shared / all_of)
+    plan = B.corpus_bleu(ref, hyp)._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan  # n-grams do not become rows
+
+
+def test_candidates_are_searched_once(spark):
+    """Reranking reads its candidates three times, but what they come from runs once."""
+    vectors = spark.createDataFrame([(w, [float(i), 1.0, float(i % 2)]) for i, w in enumerate("abcdef")], "word string, vec array<float>")
+    queries = spark.createDataFrame([(1, 0, ["a", "b"]), (2, 1, ["c", "d"])], "qid int, target_idx int, tokens array<string>")
+    ran = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            ran.add(len(b))
+            yield b
+
+    cands = spark.createDataFrame([(1, "c"), (1, "d"), (2, "a")], "qid int, other string").coalesce(1).mapInPandas(count, "qid int, other string")
+    assert len(V.rerank_in_context(cands, queries, vectors).collect()) == 3
+    assert ran.value == 3
+
+
+def test_floors_leave_no_neighbour_out():
+    """Any size, ties and excluded words: the floor is reached by the k largest."""
+    rng = np.random.default_rng(2)
+    for n in (1, 5, 19, 20, 64, 100, 1000):
+        sims = np.round(rng.normal(size=(7, n)), 1)
+        sims[:, rng.integers(n)] = -np.inf
+        for k in (1, 3, 10):
+            at = max(0, n - k)
+            assert (V._floors(sims, k) <= np.partition(sims, at, axis=1)[:, at]).all()
