@@ -107,21 +107,31 @@ def augment_with_synonyms(
 
 
 def augment_answers(
-    examples: DataFrame, synonyms: DataFrame, share: float = 0.7, order: Sequence[str] = ("qid",)
+    examples: DataFrame,
+    synonyms: DataFrame,
+    share: float = 0.7,
+    order: Sequence[str] = ("qid",),
+    columns: Sequence[str] | None = None,
 ) -> DataFrame:
     """Every row, plus a copy (``copy`` = 1) of every answerable row. In the first
-    ``share`` of the copies the first word of the answer span is replaced by a synonym."""
-    answerable = examples.where(~F.col("is_impossible"))
-    numbered = positions(answerable, [], list(order), "__at")
-    total = answerable.agg(F.count(F.lit(1))).scalar()
+    ``share`` of the copies the first word of the answer span is replaced by a synonym.
+
+    Gives ``columns`` of the rows, all of them if it is None. The copies are numbered and
+    shuffled with these and the words of their answer, so leave out documents that nobody reads.
+    """
+    kept = list(examples.columns if columns is None else columns)
+    carried = list(dict.fromkeys([*kept, *order, "orig_answer_text"]))
     first = F.get(F.col("doc_tokens"), F.col("start_position"))
     rest = span_of(F.col("doc_tokens"), F.col("start_position") + 1, F.col("end_position"))
-    swapped = augment_with_synonyms(numbered.withColumn("__w", first), synonyms, "__w", "__new", spread=list(order))
-    text = F.array_join(F.concat(F.array("__new"), rest), " ")
+    answerable = examples.where(~F.col("is_impossible")).select(*carried, first.alias("__w"), rest.alias("__rest"))
+    numbered = positions(answerable, [], list(order), "__at")
+    total = answerable.agg(F.count(F.lit(1))).scalar()
+    swapped = augment_with_synonyms(numbered, synonyms, "__w", "__new", spread=list(order))
+    text = F.array_join(F.concat(F.array("__new"), "__rest"), " ")
     copies = swapped.withColumn(
         "orig_answer_text", F.when(F.col("__at") < share * total, text).otherwise(F.col("orig_answer_text"))
-    ).select(*examples.columns, F.lit(1).alias("copy"))
-    return examples.withColumn("copy", F.lit(0)).unionByName(copies)
+    ).select(*kept, F.lit(1).alias("copy"))
+    return examples.select(*kept, F.lit(0).alias("copy")).unionByName(copies)
 
 
 def with_short_answer(df: DataFrame, annotations: str = "annotations") -> DataFrame:

@@ -108,7 +108,7 @@ def _synonyms(spark, sf):
 )
 def _augment(spark, sf):
     ex = Q.squad_examples(squad_rows(spark, sf), True, True)
-    return Q.augment_answers(ex, synonyms(spark, sf)).select("qid", "copy", "orig_answer_text")
+    return Q.augment_answers(ex, synonyms(spark, sf), columns=["qid", "orig_answer_text"]).select("qid", "copy", "orig_answer_text")
 
 
 @query("with_short_answer", f"SELECT qid AS example_id FROM ({NQ_SQL}) WHERE has_short")
