@@ -416,3 +416,11 @@ def test_augmented_copies_leave_documents_behind(spark):
     assert whole.columns == [*ex.columns, "copy"] and few.columns == ["qid", "orig_answer_text", "copy"]
     assert sorted(whole.select(few.columns).collect()) == sorted(few.collect()) and few.count() == 54
     assert few.where("copy = 1 AND orig_answer_text = 'B c'").count() == 17  # the first 0.7 of 24
+
+
+def test_index_maps_add_up_no_sizes(spark, monkeypatch):
+    """Where every token has a piece, the maps need no running sum."""
+    monkeypatch.setattr(Q, "running_sum", lambda v: F.raise_error(F.lit("added up")).cast("array<int>"))
+    df = spark.createDataFrame([(["ab", "bcdefg", "c"],)], "toks array<string>")
+    cut = lambda t: F.when(F.length(t) > 4, F.array(F.substring(t, 1, 4), t)).otherwise(F.array(t))
+    assert df.select(Q.project_subtoken_index(F.col("toks"), cut).alias("m")).first().m.orig_to_tok == [0, 1, 3]
