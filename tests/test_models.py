@@ -359,3 +359,58 @@ def test_pairs_of_lines_folded_together(spark, monkeypatch):
     assert all("".join(r.words) == r.text for r in got)
     for t, words, logprob in alone.values():
         assert (words, logprob) in [(r.words, r.logprob) for r in got if r.text == t]
+
+
+AWKWARD = [None, "", " \t　", "a", "a b", " a  b\x1ca\x85b ", "a b c\n", "b b b b", "ä ​ a", "c a b a b c " * 40]
+
+
+def _grams_of(texts, sizes):
+    from collections import Counter
+
+    words = [(t or "").split() for t in texts]
+    return Counter((n, " ".join(w[i : i + n])) for w in words for n in sizes for i in range(len(w) - n + 1))
+
+
+@pytest.mark.parametrize("chunk", [1, 1 << 22])
+def test_ngrams_of_texts_are_counted_by_size(spark, monkeypatch, chunk):
+    monkeypatch.setattr(N, "CHUNK_BYTES", chunk)
+    df = spark.createDataFrame([(t,) for t in AWKWARD], "text string")
+    want = _grams_of(AWKWARD, (1, 2, 3))
+    got = {(r.size, r.gram): r.cnt for r in N.text_ngram_counts(df, (1, 2, 3)).collect()}
+    assert got.pop((0, None)) == sum(c for (n, _), c in want.items() if n == 1) and got == want
+    wanted = spark.createDataFrame([("a",), ("b a",), ("never seen",), ("a b c",)], "gram string")
+    few = {(r.size, r.gram): r.cnt for r in N.text_ngram_counts(df, (1, 2, 3), within=wanted).collect()}
+    assert few.pop((0, None)) == sum(c for (n, _), c in want.items() if n == 1)
+    assert {(1, "a"), (2, "b a"), (3, "a b c")} <= set(few) and few.items() <= want.items()
+    assert N.text_ngram_counts(df.limit(3), (1, 2), within=wanted).count() == 0
+    assert N.text_ngram_counts(df.limit(0), (1,), within=wanted.limit(0)).count() == 0
+
+
+def test_ngrams_of_arrays_and_texts_agree(spark):
+    """An n-gram that many lines share leaves a worker once, not once for each line."""
+    df = spark.createDataFrame([("a b a b c",)] * 200, "text string").coalesce(1)
+    tokens = df.select(F.split("text", " ").alias("tokens"))
+    want = {"a b": 400, "b a": 200, "b c": 200}
+    assert {r.gram: r.cnt for r in N.ngram_counts(df, 2, "text").collect()} == want
+    assert {r.gram: r.cnt for r in N.ngram_counts(tokens, 2).collect()} == want
+    assert N._counts_in_chunks(tokens, [2], "tokens").count() == 4
+    odd = spark.createDataFrame([(["a", None, "b"],), (None,), ([],), ([None, None, "c"],)], "tokens array<string>")
+    assert {r.gram: r.cnt for r in N.ngram_counts(odd, (1, 3)).collect()} == {"a": 1, None: 3, "b": 1, "c": 2, "a b": 1}
+
+
+def test_unwanted_grams_stay_in_the_worker(spark):
+    from lexiloom.operators.long_lines import gram_bits
+
+    df = spark.createDataFrame([(" ".join(f"w{i}" for i in range(3000)),)], "text string")
+    wanted = spark.createDataFrame([("w1",), ("w1 w2",), ("w9 w10",)], "gram string")
+    known = spark.sparkContext.broadcast(gram_bits(wanted))
+    sent = {r.gram for r in N._counts_in_chunks(df, (1, 2), "text", known).collect()}
+    assert {"w1", "w1 w2", "w9 w10", None} <= sent and len(sent) < 100
+
+
+def test_repeated_pairs_without_a_word_keep_their_rows(spark):
+    pairs = spark.createDataFrame([(None, "ck")] * 3 + [("ro", "ck")] * 2 + [("ro", None)], "prev string, word string")
+    bigrams = spark.createDataFrame([("ro ck", 2), ("ro x", 1)], "gram string, cnt bigint")
+    got = N.bigram_conditional(pairs, counts(spark), bigrams, 100, N.PLAIN, spread=[F.lit(0)]).collect()
+    assert sorted((r.prev or "", r.word or "") for r in got) == [("", "ck")] * 3 + [("ro", "")] + [("ro", "ck")] * 2
+    assert {r.cond for r in got if r.prev == "ro" and r.word} == {0.5}
