@@ -40,10 +40,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from lexiloom.llm.store import empty_if_null, map_arrow, slices, stored
+from lexiloom.llm.store import LARGE_ROWS, batch_bytes, empty_if_null, map_arrow, slices, stored, trim
 
 BLOCK_BYTES = 4 << 20  # text whose different chunks are encoded together
 JOINED = 1 << 16  # characters of chunks sent to a tokenizer at once
+PIECE = 1 << 16  # bytes of a block's column in a row: the JVM gives arrays of half a megabyte whole regions of its heap
 PART = 1 << 18  # characters of chunks aligned at once: the arrays in between grow with it, not with the block
 # Latin letters and signs, which are of one kind in any version of Unicode.
 _RE2_LATIN = r"!-~\x{c0}-\x{ff}"
@@ -270,16 +271,17 @@ def align(
     """
     both = alphabets(a_path, b_path)
     n_b, image = both.n_b, both.image
-    blocks = stored(_blocks(docs, a_path, b_path, id_col, text_col))
+    spark = docs.sparkSession
+    with batch_bytes(spark, BLOCK_BYTES):
+        blocks = stored(_blocks(docs, a_path, b_path, id_col, text_col), LARGE_ROWS)
     sent = blocks.select(F.inline(F.arrays_zip("keys", "counts")))
     totals = stored(sent.groupBy(F.col("keys").alias("key")).agg(F.sum("counts").alias("n")))
     # One row per B id: as many as B's vocabulary at most.
     highest = totals.groupBy((F.col("key") % n_b).alias("b")).agg(F.max("n").alias("top"))
     scored = totals.join(F.broadcast(highest), F.col("key") % n_b == F.col("b")).select("key", "n", (F.col("n") == F.col("top")).alias("best"))
     regular = np.flatnonzero(image >= 0)
-    images = [(int(a * n_b + image[a]),) for a in regular]  # as many as A's vocabulary at most
-    spark = docs.sparkSession
-    known = scored.join(F.broadcast(spark.createDataFrame(images, "key int")), "key").collect()
+    images = pa.table({"key": (regular * n_b + image[regular]).astype(np.int32)})  # as many as A's vocabulary at most
+    known = scored.join(F.broadcast(spark.createDataFrame(images)), "key").collect()
     counts, best = np.zeros(len(image), np.int64), np.zeros(len(image), bool)
     for row in known:
         counts[row["key"] // n_b], best[row["key"] // n_b] = row["n"], row["best"]
@@ -298,19 +300,24 @@ _NUMBERS = ["n_a", "n_b", "n_groups", "n_links"]
 
 
 def _blocks(docs: DataFrame, a_path: str, b_path: str, id_col: str, text_col: str) -> DataFrame:
-    """A row per block of texts: what each text and each different chunk holds, and the
-    irregular pairs with their numbers. The last row of a task has no block but the
-    regular pairs of all its blocks."""
+    """Blocks of texts: what each text and each different chunk holds, and the irregular
+    pairs with their numbers. What is long is cut into the rows of a block, numbered by
+    ``piece``; what each text holds is in the first. The last row of a task has no block
+    but the regular pairs of all its blocks."""
     rows = docs.select(F.col(id_col).alias("id"), empty_if_null(F.col(text_col)).alias("text"))
     id_type = rows.schema["id"].dataType
     types = [
-        pa.int64(), pa.list_(to_arrow_type(id_type)), *[pa.list_(pa.int64())] * 5, pa.list_(pa.string()),
+        pa.int64(), pa.int32(), pa.list_(to_arrow_type(id_type)), *[pa.list_(pa.int64())] * 5, pa.list_(pa.string()),
         *[pa.binary()] * 3, pa.list_(pa.int32()), pa.list_(pa.int64()),
     ]
-    names = ["block", "ids", *_NUMBERS, "words", "sha", "chunks", "links", "linked", "keys", "counts"]
+    names = ["block", "piece", "ids", *_NUMBERS, "words", "sha", "chunks", "links", "linked", "keys", "counts"]
 
-    def row(*values) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, types)], names)
+    def cut(block: int | None, texts: list, long: list) -> Iterator[pa.RecordBatch]:
+        steps = [PIECE] * 3 + [PIECE // 8] * 2
+        for piece in range(max(1, *(-(-len(v) // n) for v, n in zip(long, steps)))):
+            values = [block, piece, *(texts if piece == 0 else [[]] * len(texts))]
+            values += [v[piece * n : (piece + 1) * n] for v, n in zip(long, steps)]
+            yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, types)], names)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         both, part = alphabets(a_path, b_path), TaskContext.get().partitionId()
@@ -332,20 +339,20 @@ def _blocks(docs: DataFrame, a_path: str, b_path: str, id_col: str, text_col: st
             odd = ~chunks.regular & (weights > 0)
             keys, at = np.unique(chunks.keys[odd], return_inverse=True)
             numbers = [_sums(getattr(chunks, c)[index], ends) for c in _NUMBERS]
-            yield row(
-                part << 32 | nth, batch.column("id").to_pylist(), *numbers, words,
-                _digests(chunks.groups, index, ends), index.astype("<i4").tobytes(), chunks.n_links.astype("<i4").tobytes(),
-                np.where(chunks.regular, -chunks.keys - 1, chunks.keys).astype("<i4").tobytes(),
-                keys, np.bincount(at, weights[odd], len(keys)).astype(np.int64),
-            )
+            linked = np.where(chunks.regular, -chunks.keys - 1, chunks.keys)
+            counts = np.bincount(at, weights[odd], len(keys)).astype(np.int64)
+            held = [batch.column("id").to_pylist(), *numbers, words, _digests(chunks.groups, index, ends)]
+            yield from cut(part << 32 | nth, held, [*(v.astype("<i4").tobytes() for v in (index, chunks.n_links, linked)), keys, counts])
+            del batch, texts, chunks, distinct, held
+            trim()  # or the worker keeps what a block took in between
         used = np.flatnonzero(vector)
         keys = (used * both.n_b + both.image[used]).astype(np.int32)
-        yield row(None, [], [], [], [], [], [], [], b"", b"", b"", keys, vector[used])
+        yield from cut(None, [[]] * 7, [b"", b"", b"", keys, vector[used]])
 
     kind = id_type.simpleString()
     numbers = ", ".join(f"{c} array<long>" for c in [*_NUMBERS, "words"])
     schema = (
-        f"block long, ids array<{kind}>, {numbers}, sha array<string>, chunks binary, links binary, linked binary, "
+        f"block long, piece int, ids array<{kind}>, {numbers}, sha array<string>, chunks binary, links binary, linked binary, "
         "keys array<int>, counts array<long>"
     )
     return map_arrow(rows, encode, schema)
@@ -373,9 +380,9 @@ def _measured(blocks: DataFrame, answers: DataFrame, vectors, n_b: int, image: n
 
     def measure(block: pa.Table, answered: pa.Table) -> pa.Table:
         counts, best = vectors.value
-        held = block.to_pylist()[0]
-        linked = np.frombuffer(held["linked"], "<i4")
-        links, index = (np.frombuffer(held[c], "<i4") for c in ("links", "chunks"))
+        block = block.sort_by("piece")
+        held = block.slice(0, 1).drop_columns(["chunks", "links", "linked"]).to_pylist()[0]
+        index, links, linked = (np.frombuffer(b"".join(block[c].to_pylist()), "<i4") for c in ("chunks", "links", "linked"))
         keys = answered["key"].to_numpy()
         order = np.argsort(keys)
         keys, n, top = keys[order], answered["n"].to_numpy()[order], answered["best"].to_numpy()[order]

@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
+import re
 import shutil
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager, suppress
 from pathlib import Path
 
 import pyarrow as pa
@@ -19,7 +22,12 @@ from lexiloom.session import shared_dir
 WORD = r"[^\x20\x09-\x0D]+"  # a word: any run of characters that are not ASCII white space
 
 
-def stored(df: DataFrame) -> DataFrame:
+#: For rows of megabytes. The writer holds a row group, and the reader brings all rows of one to
+#: the heap at once; by default its size is looked at after 100 rows for the first time.
+LARGE_ROWS = {"parquet.block.size": str(16 << 20), "parquet.block.size.row.check.min": "1"}
+
+
+def stored(df: DataFrame, options: dict[str, str] | None = None) -> DataFrame:
     """Write ``df`` as Parquet below the session's checkpoint folder and read it back.
 
     Cuts the lineage and keeps what was computed when an executor is lost. The
@@ -27,10 +35,24 @@ def stored(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch(spark)
-    df.write.parquet(path)
+    df.write.options(**(options or {})).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def batch_bytes(spark: SparkSession, limit: int) -> Iterator[None]:
+    """While this lasts, what is run sends Arrow batches of about ``limit`` bytes to Python, or
+    less where the session says so. A batch is held outside of the heap and in the worker."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    default = int(re.match(r"\d+", before)[0]) if re.fullmatch(r"\d+b?", before, re.I) else None
+    spark.conf.set(name, str(limit if default is None else min(limit, default)))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def scratch(spark: SparkSession) -> str:
     """A new path below the shared folder, removed when the application ends."""
     path = f"{shared_dir(spark)}/llm-{uuid.uuid4().hex}"
@@ -76,6 +98,13 @@ def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[p
     return df.mapInArrow(run, schema)
 
 
+def trim() -> None:
+    """Give memory that is no longer used back to the system."""
+    pa.default_memory_pool().release_unused()
+    with suppress(OSError, AttributeError):  # a C library that cannot
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 _shipped: set[str] = set()
 
 

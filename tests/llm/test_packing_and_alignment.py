@@ -236,3 +236,18 @@ def test_chunks_are_aligned_in_parts(monkeypatch):
         assert getattr(parts, name).dtype == getattr(whole, name).dtype
     assert parts.groups == whole.groups
     assert A.Chunks([], np.zeros(0, bool), both).groups == []
+
+
+def test_alignment_rows_are_small(spark, both, monkeypatch):
+    """A block is cut into rows of bounded size, and Python gets batches no larger than a block."""
+    name, limits = "spark.sql.execution.arrow.maxBytesPerBatch", []
+    before, write = spark.conf.get(name), alignment.stored
+    monkeypatch.setattr(alignment, "stored", lambda df, *a: limits.append(int(spark.conf.get(name).rstrip("b"))) or write(df, *a))
+    long = " ".join(f"{i:x} wörd{i * 7919 % 10007}," for i in range(60_000))
+    rows = spark.createDataFrame([(1, long), (2, "a b"), (3, None), (None, long)], "doc_id long, text string").repartition(1)
+    blocks = alignment._blocks(rows, A_PATH, B_PATH, "doc_id", "text")
+    names = ["chunks", "links", "linked", "keys"]
+    sizes = blocks.selectExpr(*[f"max({'size' if c == 'keys' else 'length'}({c})) AS {c}" for c in names]).first()
+    assert max(sizes[:3]) <= 1 << 16 and sizes["keys"] <= 1 << 13
+    check_alignment(alignment.align(rows, A_PATH, B_PATH)[0].collect(), [(1, long), (2, "a b"), (3, None), (None, long)], both)
+    assert limits[0] <= 4 << 20 and spark.conf.get(name) == before
