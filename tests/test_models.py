@@ -414,3 +414,15 @@ def test_repeated_pairs_without_a_word_keep_their_rows(spark):
     got = N.bigram_conditional(pairs, counts(spark), bigrams, 100, N.PLAIN, spread=[F.lit(0)]).collect()
     assert sorted((r.prev or "", r.word or "") for r in got) == [("", "ck")] * 3 + [("ro", "")] + [("ro", "ck")] * 2
     assert {r.cond for r in got if r.prev == "ro" and r.word} == {0.5}
+
+
+def test_segment_bigram_plans_hold_values(spark):
+    """The total and the hot keys are values in the plan, which the driver keeps for every job, not plans of their own."""
+    df = spark.createDataFrame([(1, "abab"), (2, "ba")], "key int, text string")
+    one, two = (spark.createDataFrame(rows, "gram string, cnt bigint") for rows in ([("a", 2), ("ab", 3)], [("ab ab", 1)]))
+    for counts, pairs in ((one, two), (one.limit(0), two.limit(0))):
+        out = S.segment_bigram(df, counts, pairs, max_len=2)
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+        assert "subquery" not in plan
+        assert {r.key for r in out.collect()} == {1, 2}
+    assert [r.words for r in S.segment_bigram(df, one, two, max_len=2).orderBy("key").collect()][0] == ["ab", "ab"]
