@@ -424,3 +424,23 @@ def test_index_maps_add_up_no_sizes(spark, monkeypatch):
     df = spark.createDataFrame([(["ab", "bcdefg", "c"],)], "toks array<string>")
     cut = lambda t: F.when(F.length(t) > 4, F.array(F.substring(t, 1, 4), t)).otherwise(F.array(t))
     assert df.select(Q.project_subtoken_index(F.col("toks"), cut).alias("m")).first().m.orig_to_tok == [0, 1, 3]
+
+
+def test_encode_features_reads_documents_once(spark):
+    """What is asked for reads the stored sub-tokens: the documents are not cut anew."""
+    from lexiloom.plans.qa_queries import _encode
+
+    files = _encode(spark, "/root/testdata/sf0.001").inputFiles()
+    assert files and not any("documents.parquet" in f for f in files)
+
+
+def test_encode_arrays_with_known_hot_terms(spark, monkeypatch):
+    from lexiloom.operators import skew
+
+    monkeypatch.setattr(skew, "MAX_LOOKUP_ROWS", 0)  # no broadcast
+    monkeypatch.setattr(skew, "hot_keys", lambda *a: 1 / 0)  # the tokens are not read for their hot terms
+    df = spark.createDataFrame([(1, ["a", "b", "a"], ["z"]), (2, [], ["a"])], "id int, x array<string>, y array<string>")
+    vocab = spark.createDataFrame([("a", 5), ("b", 6)], "term string, ix bigint")
+    hot = spark.createDataFrame([("a", 3), ("z", 2)], "term string, __fan int")
+    got = {r.id: (r.xi, r.yi) for r in Q.encode_arrays(df, "id", {"x": "xi", "y": "yi"}, vocab, 0, hot=hot).collect()}
+    assert got == {1: ([5, 6, 5], [0]), 2: ([], [5])}
